@@ -1,0 +1 @@
+"""Batch only: the claims jobs have no streaming surface, so none is offered."""
