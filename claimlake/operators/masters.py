@@ -105,18 +105,22 @@ def unlicensed_referrals(tables: Tables) -> DataFrame:
     return salted_join(named, known, "clinician_id", "left_anti", spread_left=["name"])
 
 
-def ordering_doctors(tables: Tables) -> DataFrame:
-    """Ordering doctors by licence, by unlicensed referral and by doctor id: the
-    union of the three without repeats, with the greatest department per name."""
+def _placed_doctors(tables: Tables) -> DataFrame:
+    """Doctors that have both a licence record and a known department."""
     held = tables["doctors"].select("doctor_id", "doctor_name", "dept_id").join(
         tables["licences"].select("doctor_id", "doctor_license_number"), "doctor_id"
     )
     departments = _departments(tables)
     rows = check_dimensions({"d": departments}, {"d": "dept_id"})["d"]
-    placed = attach(held, departments.withColumn("placed", F.lit(True)), "dept_id", rows)
-    placed = placed.filter("placed")
-    by_licence = placed.groupBy("doctor_license_number", "dept_name").agg(
-        F.max("doctor_name").alias("doctor_name")
+    known = departments.withColumn("known", F.lit(True))
+    return attach(held, known, "dept_id", rows).filter("known").drop("known")
+
+
+def doctor_names(tables: Tables) -> DataFrame:
+    """Greatest name per licence and department, and per unlicensed referral."""
+    by_licence = (
+        _placed_doctors(tables).groupBy("doctor_license_number", "dept_name")
+        .agg(F.max("doctor_name").alias("doctor_name"))
     )
     by_referral = (
         unlicensed_referrals(tables)
@@ -124,15 +128,21 @@ def ordering_doctors(tables: Tables) -> DataFrame:
         .agg(F.max("name").alias("doctor_name"))
         .withColumn("dept_name", F.lit(""))
     )
-    by_id = placed.select(
+    return by_licence.unionByName(by_referral)
+
+
+def doctor_sources(tables: Tables) -> DataFrame:
+    """Names by licence, by referral and by doctor id, without repeats."""
+    by_id = _placed_doctors(tables).select(
         F.col("doctor_id").alias("doctor_license_number"), "doctor_name", "dept_name"
     )
-    return (
-        by_licence.unionByName(by_referral)
-        .unionByName(by_id)
-        .distinct()
-        .groupBy("doctor_license_number", "doctor_name")
-        .agg(F.max("dept_name").alias("dept_name"))
+    return doctor_names(tables).unionByName(by_id).distinct()
+
+
+def ordering_doctors(tables: Tables) -> DataFrame:
+    """Ordering doctors with the greatest department name per name."""
+    return doctor_sources(tables).groupBy("doctor_license_number", "doctor_name").agg(
+        F.max("dept_name").alias("dept_name")
     )
 
 

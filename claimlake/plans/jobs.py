@@ -123,7 +123,8 @@ def matched_extract(
 ) -> DataFrame:
     """Paid claims with labels and basic status. The date range is that of the
     payment, the organizations are those of the claim."""
-    claims = keep_members(tables["claims"], {"org_id": orgs}).withColumns(
+    # The denial code reported is that of the payment, not of the claim.
+    claims = keep_members(tables["claims"].drop("denial_code"), {"org_id": orgs}).withColumns(
         {
             "cleaned_activityid": clean_activity_id("activityid"),
             "doctor_id": F.coalesce("clinician", "orderingclinician"),

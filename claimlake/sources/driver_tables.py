@@ -6,7 +6,7 @@ tables; the amounts use decimal arithmetic so that results are reproducible.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -248,3 +248,22 @@ VIEWS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         licences, departments, referrals,
     )
 }
+
+
+class ClaimsTables(Mapping):
+    """The views by name, each built when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._source = (spark, sf_dir)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = VIEWS[name](*self._source)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(VIEWS)
+
+    def __len__(self) -> int:
+        return len(VIEWS)

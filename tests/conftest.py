@@ -26,9 +26,9 @@ def spark():
 
 @pytest.fixture(scope="session")
 def tables(spark):
-    from claimlake.sources.driver_tables import VIEWS
+    from claimlake.sources.driver_tables import ClaimsTables
 
-    return {name: view(spark, SF_DIR) for name, view in VIEWS.items()}
+    return ClaimsTables(spark, SF_DIR)
 
 
 @pytest.fixture()
