@@ -17,6 +17,9 @@ __all__ = [
 FULL_PAYMENT_RATIO = 0.99
 LATE_AFTER_DAYS = 30
 
+# Money to a hundredth of a cent: net amounts are products of price and discount.
+MONEY = "decimal(18,4)"
+
 _MICROS_PER_DAY = 86_400_000_000
 
 
@@ -80,8 +83,14 @@ def is_delayed_payment(
     return F.coalesce(_col(days) > threshold, F.lit(False))
 
 
+def _money(amount: Column | str) -> Column:
+    return _col(amount).cast(MONEY)
+
+
 def write_off_amount() -> Column:
-    return F.round(F.col("netclaim") - F.col("received_amount"), 2)
+    """Claimed less received, to the cent; decimal, so that half cents round up."""
+    gap = _money("netclaim") - _money("received_amount")
+    return F.round(gap, 2).cast("double")
 
 
 def processing_days() -> Column:
@@ -94,11 +103,12 @@ def share_or_zero(part: Column | str, whole: Column | str) -> Column:
     return F.when(whole > 0, F.try_divide(part, whole)).otherwise(F.lit(0.0))
 
 
-def exact_sum(amount: Column | str, scale: int = 2) -> Column:
+def exact_sum(amount: Column | str, places: int | None = None) -> Column:
     """Sum in decimal, so that the total does not depend on row order."""
-    return F.sum(_col(amount).cast(f"decimal(18,{scale})")).cast("double")
+    total = F.sum(_money(amount))
+    return (total if places is None else F.round(total, places)).cast("double")
 
 
-def exact_avg(amount: Column | str, scale: int = 4) -> Column:
+def exact_avg(amount: Column | str) -> Column:
     """Mean from a decimal sum, NULL for no values."""
-    return F.try_divide(exact_sum(amount, scale), F.count(_col(amount)))
+    return F.try_divide(exact_sum(amount), F.count(_col(amount)))

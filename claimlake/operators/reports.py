@@ -29,7 +29,7 @@ def aggregate_by_center(matched: DataFrame) -> DataFrame:
 def center_statistics(matched: DataFrame) -> DataFrame:
     """Rounded center figures; rows without a center are left out."""
     def total(column: str) -> Column:
-        return F.round(F.coalesce(exact_sum(column), F.lit(0.0)), 2)
+        return F.coalesce(exact_sum(column, 2), F.lit(0.0))
 
     late = F.coalesce(F.col("is_delayed_payment"), F.lit(False)).cast("int")
     return (
@@ -69,7 +69,7 @@ def denial_patterns(matched: DataFrame) -> DataFrame:
         )
 
     def total(column: str) -> Column:
-        return F.round(F.coalesce(exact_sum(column), F.lit(0.0)), 2)
+        return F.coalesce(exact_sum(column, 2), F.lit(0.0))
 
     return (
         matched.filter(F.col("denial_code").isNotNull())

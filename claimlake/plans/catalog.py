@@ -472,12 +472,16 @@ def _(t):
          "clinician": ["count", "nunique"], "activitycode": ["first", "last"]},
         order_by=["bill_finalized_date", "claimid", "activityid"],
     )
-    rounded = {f"gross_{f}": F.round(f"gross_{f}", 2)
-               for f in ("sum", "mean", "min", "max", "std", "median")}
-    rounded["gross_var"] = F.round("gross_var", 0)
+    rounded = {f"gross_{f}": _settled(f"gross_{f}") for f in ("sum", "mean", "std", "median")}
+    rounded["gross_var"] = _settled("gross_var", 2)
     return spread.withColumns(rounded)
 
 
+def _settled(column: str, places: int = 4):
+    """Rounded after the noise of a double sum is cut off."""
+    return F.round(F.col(column).cast("decimal(28,8)"), places).cast("double")
+
+
 on_claims_tables("a7_doctor_names")(masters.doctor_names)
 on_claims_tables("a8_remittance_per_claim")(
     lambda t: metrics.remittance_per_claim(t["remittance"])

@@ -128,9 +128,9 @@ select c.*, r.ra_seq, r.transaction_date, r.denial_code, r.received_amount, r.in
   r.org_id as ra_org_id, r.reference_no
 from prep c join remittance r on c.claimid = r.claim_id and c.cleaned_activityid = r.activity_id""",
     "claim_totals": """
-select claimid, cast(sum(cast(netclaim as decimal(18,2))) as double) as total_claim_amount from claims group by claimid""",
+select claimid, cast(sum(cast(netclaim as decimal(18,4))) as double) as total_claim_amount from claims group by claimid""",
     "paid_totals": """
-select claim_id, cast(sum(cast(received_amount as decimal(18,2))) as double) as total_paid_amount,
+select claim_id, cast(sum(cast(received_amount as decimal(18,4))) as double) as total_paid_amount,
   count(denial_code) as denial_count from remittance group by claim_id""",
     "scored": """
 select c.*, t.total_claim_amount, p.total_paid_amount, p.total_paid_amount as total_approved_amount, p.denial_count,
@@ -234,14 +234,23 @@ FULL = f"coalesce({PAID_RATIO} >= 0.99, false)"
 EFFICIENCY = "round(received_amount / nullif(netclaim, 0), 4)"
 ELAPSED = "round((epoch_us(transaction_date) - epoch_us(bill_finalized_date)) / 86400000000.0, 0)"
 CALENDAR = "cast(datediff('day', cast(bill_finalized_date as date), cast(transaction_date as date)) as double)"
-WRITE_OFF = "round(netclaim - received_amount, 2)"
+WRITE_OFF = "cast(round(cast(netclaim as decimal(18,4)) - cast(received_amount as decimal(18,4)), 2) as double)"
 
 ACT = "claimid, activityid"
 PAY = "claim_id, activity_id, ra_seq"
 
 
 def money(column: str) -> str:
-    return f"cast(sum(cast({column} as decimal(18,2))) as double)"
+    return f"cast(sum(cast({column} as decimal(18,4))) as double)"
+
+
+def cents(column: str) -> str:
+    return f"coalesce(cast(round(sum(cast({column} as decimal(18,4))), 2) as double), 0)"
+
+
+def settled(value: str, places: int = 4) -> str:
+    """Rounded after the noise of a double sum is cut off."""
+    return f"cast(round(cast({value} as decimal(28,8)), {places}) as double)"
 
 
 def center_report(source: str) -> str:
@@ -443,23 +452,23 @@ left join plans p on c.plan_id = p.plan_id"""),
 left join (select case when doctor_id <> 'S1' then doctor_id end as k, doctor_name from doctors) d on c.clinician is not distinct from d.k"""),
     "j14_unlicensed_referrals": over("unlicensed", "select clinician_id, name from unlicensed"),
     "a1_center_kpis": over("matched hospital_dim", center_report("matched")),
-    "a2_center_statistics": over("matched", f"""select center_id, count(claimid) as total_claims, round({money('gross')}, 2) as total_gross,
-  round({money('netclaim')}, 2) as total_net, round(coalesce({money('received_amount')}, 0), 2) as total_received,
-  round(coalesce({money(WRITE_OFF)}, 0), 2) as total_write_off, round(avg({ELAPSED}), 2) as avg_days_to_payment,
+    "a2_center_statistics": over("matched", f"""select center_id, count(claimid) as total_claims, {cents('gross')} as total_gross,
+  {cents('netclaim')} as total_net, {cents('received_amount')} as total_received,
+  {cents(WRITE_OFF)} as total_write_off, round(avg({ELAPSED}), 2) as avg_days_to_payment,
   round(avg(case when {ELAPSED} > 30 then 1 else 0 end), 2) as delayed_payment_rate,
   round(cast(sum(cast({EFFICIENCY} as decimal(18,4))) as double) / count({EFFICIENCY}), 2) as avg_payment_efficiency
 from matched where center_id is not null group by center_id"""),
     "a3_denial_patterns": over("matched_inner", f"""select denial_code, denied_claims, denied_amount, recovered_amount,
   round(recovered_amount / nullif(denied_amount, 0), 4) as recovery_rate from (
-  select denial_code, count(claimid) as denied_claims, round({money('netclaim')}, 2) as denied_amount,
-    round({money('received_amount')}, 2) as recovered_amount from matched_inner where denial_code is not null group by denial_code)
+  select denial_code, count(claimid) as denied_claims, {cents('netclaim')} as denied_amount,
+    {cents('received_amount')} as recovered_amount from matched_inner where denial_code is not null group by denial_code)
 order by denied_claims desc, denial_code"""),
     "a4_received_dates": over("received", "select * from received"),
     "a5_ordering_doctors": over("doctor_union", """select doctor_license_number, doctor_name, max(dept_name) as dept_name
 from doctor_union group by doctor_license_number, doctor_name"""),
-    "a6_aggregate": over("claims", """select center_id, claim_status, round(sum(gross), 2) as gross_sum, round(avg(gross), 2) as gross_mean,
-  round(min(gross), 2) as gross_min, round(max(gross), 2) as gross_max, round(stddev_samp(gross), 2) as gross_std,
-  round(var_samp(gross), 0) as gross_var, round(median(gross), 2) as gross_median, count(clinician) as clinician_count,
+    "a6_aggregate": over("claims", f"""select center_id, claim_status, {settled('sum(gross)')} as gross_sum, {settled('avg(gross)')} as gross_mean,
+  min(gross) as gross_min, max(gross) as gross_max, {settled('stddev_samp(gross)')} as gross_std,
+  {settled('var_samp(gross)', 2)} as gross_var, {settled('median(gross)')} as gross_median, count(clinician) as clinician_count,
   count(distinct clinician) as clinician_nunique,
   arg_min(activitycode, (bill_finalized_date, claimid, activityid)) as activitycode_first,
   arg_max(activitycode, (bill_finalized_date, claimid, activityid)) as activitycode_last
@@ -468,10 +477,10 @@ from claims group by center_id, claim_status"""),
     "a8_remittance_per_claim": over("paid_totals", "select * from paid_totals"),
     "w1_latest_denial": over("latest_denial", "select * from latest_denial"),
     "w2_claim_totals": over("matched", f"""select {ACT}, ra_seq, netclaim, received_amount,
-  cast(sum(cast(netclaim as decimal(18,2))) over (partition by claimid) as double) as total_claim_amount,
-  cast(sum(cast(received_amount as decimal(18,2))) over (partition by claimid) as double) as total_approved_amount from matched"""),
+  cast(sum(cast(netclaim as decimal(18,4))) over (partition by claimid) as double) as total_claim_amount,
+  cast(sum(cast(received_amount as decimal(18,4))) over (partition by claimid) as double) as total_approved_amount from matched"""),
     "w3_total_paid": over("remittance", f"""select {PAY}, received_amount,
-  cast(sum(cast(received_amount as decimal(18,2))) over (partition by claim_id) as double) as total_paid_amount from remittance"""),
+  cast(sum(cast(received_amount as decimal(18,4))) over (partition by claim_id) as double) as total_paid_amount from remittance"""),
     "w4_denial_count": over("remittance", f"""select {PAY}, denial_code,
   count(denial_code) over (partition by claim_id) as denial_count from remittance"""),
     "l1_ranked_denials": over("remittance", """select denial_code, count(*) as denied_claims from remittance
