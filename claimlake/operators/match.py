@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,38 +62,65 @@ _BUILD = {
 }
 
 
-def enrich(
-    facts: DataFrame, tables: Tables, roles: Iterable[tuple],
-    licensed: bool = False,
-) -> DataFrame:
-    """Attach the labels of every role; the fact row count does not change."""
-    roles = list(roles)
+@dataclass(frozen=True)
+class Dimensions:
+    """Dimensions with checked row counts and unique keys."""
+
+    frames: dict[str, DataFrame]
+    rows: dict[str, int]
+
+    def attach(self, facts: DataFrame, roles: Iterable[tuple]) -> DataFrame:
+        """Attach the labels of every role; the fact row count does not change."""
+        for name, dim_key, fact_key, labels in roles:
+            facts = attach_role(
+                facts, self.frames[name], dim_key, fact_key, labels, self.rows[name]
+            )
+        return facts
+
+
+def checked_dimensions(
+    tables: Tables, roles: Iterable[tuple], licensed: bool = False
+) -> Dimensions:
+    """Build the dimensions that the roles name, and check them in one job."""
     keys = {name: key for name, key, _, _ in roles}
-    dims = {
+    frames = {
         name: _BUILD["licensed_doctor" if licensed and name == "doctor" else name](tables)
         for name in keys
     }
-    rows = check_dimensions(dims, keys)
-    for name, dim_key, fact_key, labels in roles:
-        facts = attach_role(facts, dims[name], dim_key, fact_key, labels, rows[name])
-    return facts
+    return Dimensions(frames, check_dimensions(frames, keys))
 
 
-def enrich_claims(claims: DataFrame, tables: Tables) -> DataFrame:
+def enrich(facts: DataFrame, tables: Tables, roles: Iterable[tuple]) -> DataFrame:
+    roles = list(roles)
+    return checked_dimensions(tables, roles).attach(facts, roles)
+
+
+CLAIM_ROLES = [HOSPITAL, INSURER, PLAN, treating_role("doc_id"),
+               ordering_role("ordering_doc_id"), ENCOUNTER]
+OPEN_CLAIM_ROLES = [HOSPITAL, INSURER, PLAN, treating_role("doctor_id"),
+                    ordering_role("ordering_doc_id")]
+
+
+def claim_dimensions(tables: Tables) -> Dimensions:
+    """The dimensions of claims, which serve open claims too."""
+    return checked_dimensions(tables, CLAIM_ROLES, licensed=True)
+
+
+def enrich_claims(
+    claims: DataFrame, tables: Tables, dims: Dimensions | None = None
+) -> DataFrame:
     """Prepared claims with hospital, insurer, plan, both doctors, encounter type."""
-    roles = [HOSPITAL, INSURER, PLAN, treating_role("doc_id"), ordering_role("ordering_doc_id"),
-             ENCOUNTER]
-    return enrich(claims, tables, roles, licensed=True)
+    return (dims or claim_dimensions(tables)).attach(claims, CLAIM_ROLES)
 
 
 def enrich_remittance(remittance: DataFrame, tables: Tables) -> DataFrame:
     return enrich(remittance, tables, [denial_role("denial_code")])
 
 
-def enrich_open_claims(open_claims: DataFrame, tables: Tables) -> DataFrame:
-    roles = [HOSPITAL, INSURER, PLAN, treating_role("doctor_id"),
-             ordering_role("ordering_doc_id")]
-    return enrich(open_claims, tables, roles, licensed=True)
+def enrich_open_claims(
+    open_claims: DataFrame, tables: Tables, dims: Dimensions | None = None
+) -> DataFrame:
+    return (dims or claim_dimensions(tables)).attach(open_claims, OPEN_CLAIM_ROLES)
 
 
 def with_doctor_roles(

@@ -147,20 +147,17 @@ def append_open_claims(claims: DataFrame, open_claims: DataFrame) -> DataFrame:
     return claims.unionByName(shared, allowMissingColumns=True).select(*claims.columns)
 
 
-def final_dataset(
-    claims: DataFrame, remittance: DataFrame, open_claims: DataFrame
-) -> DataFrame:
-    """Enriched claims with totals and payment status, and the open claims.
+def final_dataset(scored_claims: DataFrame, open_claims: DataFrame) -> DataFrame:
+    """Claims with totals and payment status, and the open claims.
 
     ``claim_status`` becomes the payment status of a submitted claim; the status
     code it was submitted with is kept as ``submitted_status``.
     """
-    scored = claims_with_payments(claims, remittance).withColumns(
+    scored = scored_claims.withColumns(
         {
             "submitted_status": F.col("claim_status"),
             "claim_status": payment_status("total_paid_amount", "total_claim_amount"),
         }
     )
     opened = open_claims.withColumn("doc_id", F.col("doctor_id"))
-    combined = append_open_claims(scored, opened)
-    return combined.withColumnRenamed("claimid", "claim_id")
+    return append_open_claims(scored, opened).withColumnRenamed("claimid", "claim_id")

@@ -1,10 +1,11 @@
 """Exact quantiles without holding all values of a column or group in one task.
 
 The built-in exact percentile keeps a map of every distinct value in one buffer. Here
-the wanted ranks are located in three passes instead: by the leading digits of the
-value, by the following digits among the rows that share them, and by value among the
-few that are left. The counts per digit are combined on the map side, and a pass hands
-at most two rows per quantile to the next.
+values are counted once, combined on the map side, and stay distributed; all passes
+read that one shuffle. The wanted ranks are then located in three steps: by the leading
+digits of the value, by the following digits among the values that share them, and by
+value among the few that are left. A step hands at most two rows per quantile to the
+next.
 """
 
 from __future__ import annotations
@@ -56,7 +57,7 @@ def _wanted(probabilities: Mapping[str, float], total: Column) -> Column:
 
 def _locate(rows: DataFrame, group: list[str], digit: str, first: Column | None) -> DataFrame:
     """Digit that holds each wanted rank of the group; ranks become ranks within it."""
-    measures = [F.count(F.lit(1)).alias("n")]
+    measures = [F.sum("n").alias("n")]
     if first is None:
         measures.append(F.any_value("wanted").alias("wanted"))
     counts = rows.groupBy(*group, digit).agg(*measures)
@@ -95,8 +96,9 @@ def exact_quantiles(
     long = numbers.unpivot(keys, columns, "column_name", "v").filter(
         F.col("v").isNotNull() & ~F.isnan("v")
     )
+    counts = long.groupBy(*keys, "column_name", "v").agg(F.count(F.lit(1)).alias("n"))
     first, second = _digits(F.col("v"))
-    long = long.withColumns({"d1": first, "d2": second, "v": F.col("v") + F.lit(0.0)})
+    long = counts.withColumns({"d1": first, "d2": second})
 
     def narrow(rows: DataFrame, places: DataFrame, on: list[str]) -> DataFrame:
         if keys:

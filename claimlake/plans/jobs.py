@@ -21,11 +21,13 @@ from claimlake.operators.facts import (
 )
 from claimlake.operators.masters import MASTER_SETS, Tables, fill_missing_labels
 from claimlake.operators.match import (
-    HOSPITAL, ordering_role, treating_role, claims_with_labels, enrich, enrich_claims,
-    enrich_open_claims, enrich_remittance, join_masters, match_claims,
-    matched_labels, remittance_with_labels,
+    HOSPITAL, claim_dimensions, claims_with_labels, enrich, enrich_claims,
+    enrich_open_claims, join_masters, match_claims, matched_labels, ordering_role,
+    remittance_with_labels, treating_role,
+)
+from claimlake.operators.metrics import (
+    center_metrics, claims_with_payments, final_dataset,
 )
-from claimlake.operators.metrics import center_metrics, final_dataset
 from claimlake.operators.profiling import full_profile, narrow_types
 from claimlake.operators.quality import (
     check_tables, failed_checks, staging_dir, validate_records,
@@ -145,22 +147,28 @@ def matched_extract(
 
 # --- full run --------------------------------------------------------------------
 
-def enriched_facts(tables: Tables) -> dict[str, DataFrame]:
-    return {
-        "claims": enrich_claims(prepare_claims(tables["claims"]), tables),
-        "remittance": enrich_remittance(prepare_remittance(tables["remittance"]), tables),
-        "open_claims": enrich_open_claims(
-            prepare_open_claims(tables["open_claims"]), tables
-        ),
-    }
+def score_facts(
+    claims: DataFrame, remittance: DataFrame, open_claims: DataFrame, tables: Tables
+) -> DataFrame:
+    """Prepared facts as the final dataset.
+
+    Totals are joined before labels, so that the load check and the shuffle see the
+    claims as they are stored; the labels are attached to both kinds of claim after.
+    """
+    dims = claim_dimensions(tables)
+    scored = claims_with_payments(claims, remittance)
+    opened = open_claims.withColumn("encounterstart_date", F.col("encounter_start_date"))
+    return final_dataset(
+        enrich_claims(scored, tables, dims), enrich_open_claims(opened, tables, dims)
+    )
 
 
 def build_final_dataset(tables: Tables) -> DataFrame:
     """Enriched claims with totals and payment status, and the open claims."""
-    claims = enrich_claims(prepare_claims(tables["claims"]), tables)
-    opened = enrich_open_claims(prepare_open_claims(tables["open_claims"]), tables)
-    opened = opened.withColumn("encounterstart_date", F.col("encounter_start_date"))
-    return final_dataset(claims, tables["remittance"], opened)
+    return score_facts(
+        prepare_claims(tables["claims"]), tables["remittance"],
+        prepare_open_claims(tables["open_claims"]), tables,
+    )
 
 
 def materialise(tables: Tables, out: str) -> dict[str, DataFrame]:
@@ -185,15 +193,9 @@ def run_claims(spark: SparkSession, tables: Tables, out: str) -> DataFrame:
     The session is the caller's and stays open.
     """
     written = materialise(tables, out)
-    facts = {
-        **tables,
-        "remittance": written["remittance"],
-    }
-    claims = enrich_claims(written["claims"], facts)
-    opened = enrich_open_claims(written["open_claims"], facts).withColumn(
-        "encounterstart_date", F.col("encounter_start_date")
+    final = score_facts(
+        written["claims"], written["remittance"], written["open_claims"], tables
     )
-    final = final_dataset(claims, written["remittance"], opened)
     return write_partitioned(final, f"{out}/transformed_data/final_dataset.parquet")
 
 
