@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 __all__ = [
     "coerce_integers", "coerce_numbers", "coerce_timestamps", "convert_dates",
@@ -18,25 +19,25 @@ def _present(df: DataFrame, columns: Iterable[str]) -> list[str]:
     return [c for c in columns if c in have]
 
 
+def _coerce(df: DataFrame, columns: Iterable[str], kind: T.DataType) -> DataFrame:
+    """Present columns that are of another type, converted or NULL."""
+    other = [c for c in _present(df, columns) if df.schema[c].dataType != kind]
+    return df.withColumns({c: F.col(c).try_cast(kind) for c in other}) if other else df
+
+
 def coerce_numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Listed columns as double, unreadable values NULL; absent columns skipped."""
-    return df.withColumns(
-        {c: F.col(c).try_cast("double") for c in _present(df, columns)}
-    )
+    return _coerce(df, columns, T.DoubleType())
 
 
 def coerce_timestamps(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Listed columns as zone-free timestamps, unreadable values NULL."""
-    return df.withColumns(
-        {c: F.col(c).try_cast("timestamp_ntz") for c in _present(df, columns)}
-    )
+    return _coerce(df, columns, T.TimestampNTZType())
 
 
 def coerce_integers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Listed columns as int, unreadable values NULL."""
-    return df.withColumns(
-        {c: F.col(c).try_cast("int") for c in _present(df, columns)}
-    )
+    return _coerce(df, columns, T.IntegerType())
 
 
 def convert_dates(

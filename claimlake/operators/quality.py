@@ -131,21 +131,32 @@ def failed_checks(checks: DataFrame) -> list[tuple[str, str]]:
 
 
 def violations(df: DataFrame, schema: T.StructType) -> Column:
-    """Why a row does not fit a record model: an array, empty for a fitting row."""
-    have = set(df.columns)
+    """Why a row does not fit a record model: an array, empty for a fitting row.
+
+    Only what can fail is looked at: a value already of the model's type converts, and
+    an optional one may be absent.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
     reasons = []
     for f in schema:
-        if f.name not in have:
+        if f.name not in kinds:
             if not f.nullable:
                 reasons.append(F.lit(f"{f.name}: missing"))
             continue
         value = F.col(f.name)
-        bad_type = value.isNotNull() & value.try_cast(f.dataType).isNull()
-        problem = F.when(bad_type, f"{f.name}: not {f.dataType.simpleString()}")
-        if not f.nullable:
-            problem = problem.when(value.isNull(), f"{f.name}: missing")
-        reasons.append(problem)
-    return F.array_compact(F.array(*reasons))
+        missing = F.when(value.isNull(), f"{f.name}: missing")
+        if kinds[f.name] != f.dataType:
+            unread = value.try_cast(f.dataType).isNull()
+            wrong = f"{f.name}: not {f.dataType.simpleString()}"
+            reasons.append(
+                F.when(value.isNotNull() & unread, wrong) if f.nullable
+                else missing.when(unread, wrong)
+            )
+        elif not f.nullable:
+            reasons.append(missing)
+    joined = F.concat_ws("\n", *reasons) if reasons else F.lit("")
+    nothing = F.array().cast("array<string>")
+    return F.when(joined == "", nothing).otherwise(F.split(joined, "\n"))
 
 
 def validate_records(
@@ -165,10 +176,12 @@ def validate_records(
         if n:
             raise ValueError(f"{n} rows do not fit the record model")
     typed = {
-        f.name: F.col(f.name).try_cast(f.dataType) for f in schema if f.name in df.columns
+        f.name: F.col(f.name).try_cast(f.dataType)
+        for f in schema
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType
     }
-    good = judged.filter(F.size("reasons") == 0).drop("reasons").withColumns(typed)
-    return good, bad
+    good = judged.filter(F.size("reasons") == 0).drop("reasons")
+    return (good.withColumns(typed) if typed else good), bad
 
 
 def staging_dir(spark: SparkSession) -> str:

@@ -36,7 +36,9 @@ def _digits(v: Column) -> tuple[Column, Column]:
     stride = 1 << (FIRST_BITS + 3)  # room for an exponent that is one off
     first = sign * ((exponent + 1100).cast("bigint") * stride + lead)
     second = sign * F.floor((scaled - lead) * (1 << SECOND_BITS))
-    return F.when(size == 0, F.lit(0)).otherwise(first).cast("bigint"), second.cast("bigint")
+    first = F.when(size == 0, F.lit(0)).otherwise(first)
+    # Never NULL, which spares NULL filters that would tell the passes' scans apart.
+    return tuple(F.coalesce(d.cast("bigint"), F.lit(0)) for d in (first, second))
 
 
 def _wanted(probabilities: Mapping[str, float], total: Column) -> Column:
