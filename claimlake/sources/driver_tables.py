@@ -7,10 +7,13 @@ tables; the amounts use decimal arithmetic so that results are reproducible.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from claimlake.operators.joins import heavy_keys
+
 
 def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -79,34 +82,61 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def remittance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordinal = F.row_number().over(
-        Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-            "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"
-        )
+_ACTIVITY = ["l_orderkey", "l_linenumber"]
+_WITHIN_DAY = ["l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+def number_payments(lines: DataFrame, by_day: bool) -> DataFrame:
+    """Payment ordinal ``ra_seq`` within the activity.
+
+    A window needs all rows of an activity in one task. ``by_day`` numbers the rows of
+    each day on their own and adds the rows of earlier days, so that only the days of
+    an activity, which the calendar bounds, meet in one task.
+    """
+    if not by_day:
+        order = Window.partitionBy(*_ACTIVITY).orderBy("l_shipdate", *_WITHIN_DAY)
+        return lines.withColumn("ra_seq", F.row_number().over(order))
+    day = [*_ACTIVITY, "l_shipdate"]
+    earlier = (
+        Window.partitionBy(*_ACTIVITY).orderBy("l_shipdate")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = lines.groupBy(*day).agg(F.count(F.lit(1)).alias("n")).select(
+        *day, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
     )
+    number = F.row_number().over(Window.partitionBy(*day).orderBy(*_WITHIN_DAY))
+    return lines.withColumn("number", number).join(before, day).withColumn(
+        "ra_seq", (F.col("before") + F.col("number")).cast("int")
+    )
+
+
+@lru_cache(maxsize=64)
+def _has_heavy_activity(spark: SparkSession, sf_dir: str) -> bool:
+    """Looked up once per session and folder; reads the key columns only."""
+    return bool(heavy_keys(scan(spark, sf_dir, "lineitem"), None, _ACTIVITY))
+
+
+def remittance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = scan(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") != "N")
+    lines = number_payments(lines, by_day=_has_heavy_activity(spark, sf_dir))
     o, p = F.col("l_orderkey"), F.col("l_partkey")
     tenths = F.col("l_extendedprice").cast("decimal(12,2)") * (10 - p % 3).cast(
         "decimal(3,0)"
     )
     denied = F.col("l_returnflag") == "R"
-    return (
-        scan(spark, sf_dir, "lineitem")
-        .filter(F.col("l_returnflag") != "N")
-        .select(
-            _tag("C", o).alias("claim_id"),
-            F.concat_ws(".", o.cast("string"), F.col("l_linenumber").cast("string"))
-            .alias("activity_id"),
-            ordinal.alias("ra_seq"),
-            F.col("l_shipdate").alias("transaction_date"),
-            F.when(denied, _tag("D", p % 9)).alias("denial_code"),
-            (F.when(denied, 0.0).otherwise(tenths.cast("double")) / 10)
-            .alias("received_amount"),
-            F.when(p % 50 == 0, 0.0).otherwise(F.col("l_extendedprice"))
-            .alias("insurance_claim_amt"),
-            (F.col("l_suppkey") % 5).cast("int").alias("org_id"),
-            _tag("R", p).alias("reference_no"),
-        )
+    return lines.select(
+        _tag("C", o).alias("claim_id"),
+        F.concat_ws(".", o.cast("string"), F.col("l_linenumber").cast("string"))
+        .alias("activity_id"),
+        "ra_seq",
+        F.col("l_shipdate").alias("transaction_date"),
+        F.when(denied, _tag("D", p % 9)).alias("denial_code"),
+        (F.when(denied, 0.0).otherwise(tenths.cast("double")) / 10)
+        .alias("received_amount"),
+        F.when(p % 50 == 0, 0.0).otherwise(F.col("l_extendedprice"))
+        .alias("insurance_claim_amt"),
+        (F.col("l_suppkey") % 5).cast("int").alias("org_id"),
+        _tag("R", p).alias("reference_no"),
     )
 
 

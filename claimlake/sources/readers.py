@@ -91,9 +91,12 @@ def slice_number(column: Column | str, start: Any, end: Any, n: int) -> Column:
     """Ordinal of the date slice a value falls in; NULL outside the range."""
     when = F.col(column) if isinstance(column, str) else column
     slices = date_slices(start, end, n)
-    inside = (when >= F.lit(slices[0][0])) & (when < F.lit(slices[-1][1]))
-    later_edges = [F.when(when >= F.lit(a), 1).otherwise(0) for a, _ in slices[1:]]
-    return F.when(inside, reduce(lambda x, y: x + y, later_edges, F.lit(0)))
+    first, last = slices[0][0], slices[-1][1]
+    days = (last - first).days
+    # Slice i starts on day floor(days * i / n): the last such i not after the day.
+    day = F.datediff(when, F.lit(first)).cast("bigint")
+    number = F.floor(((day + 1) * len(slices) - 1) / F.lit(days)).cast("int")
+    return F.when((when >= F.lit(first)) & (when < F.lit(last)), number)
 
 
 def select_spec(df: DataFrame, spec: TableSpec) -> DataFrame:
