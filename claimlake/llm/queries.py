@@ -3,20 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import corpus_pipeline
+from claimlake.llm.decontaminate import find_leaks
+from claimlake.llm.mixing import mix_sources
 from claimlake.llm.near_dedup import near_duplicates
+from claimlake.llm.oracle import ORACLE as ORACLE
+from claimlake.llm.quality import score_quality
+from claimlake.llm.sharding import record_size, shuffle_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
+                        F.col("_target").alias("target"), F.col("_taken").alias("taken"),
+                        F.col("_copies").alias("copies"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    return shuffle_shards(_table(spark, sf_dir, "documents")).select(
+        "doc_id", record_size(text).alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), F.lit("key").alias("law"),
+        F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.col("_grown_shard").alias("grown_shard"))
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op3_source_mix": op3_source_mix,
+    "op6_quality": op6_quality,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_sharding": op8_sharding,
+    "pipeline": corpus_pipeline.run,
 }
-
-ORACLE: dict[str, str] = {}

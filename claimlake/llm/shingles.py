@@ -18,7 +18,7 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_CHUNK = 1 << 22
+CHUNK = 1 << 22
 
 
 @lru_cache(maxsize=1)
@@ -57,8 +57,8 @@ def prefix_hash(flat: np.ndarray) -> np.ndarray:
     return sums
 
 
-def _hashed(flat: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of each word; ``breaks`` are positions at which a new row begins."""
+def word_bounds(flat: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of each word; ``breaks`` are positions at which a new row begins."""
     solid = ~_BLANK[flat]
     before = np.zeros(len(flat) + 1, bool)
     before[1:] = solid
@@ -69,28 +69,28 @@ def _hashed(flat: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarra
     ends = np.flatnonzero(solid & ~after[1:]) + 1
     sums = prefix_hash(_LOWER[flat])
     _, down = powers(len(flat))
-    return mix((sums[ends] - sums[starts]) * down[starts]), starts
+    return mix((sums[ends] - sums[starts]) * down[starts]), starts, ends
 
 
-def _pieces(flat: np.ndarray):
+def pieces(flat: np.ndarray):
     """Cut one long text at blanks into pieces of bounded size; a longer word stays whole."""
     low = 0
     while low < len(flat):
-        high = min(len(flat), low + _CHUNK)
+        high = min(len(flat), low + CHUNK)
         while high < len(flat) and not _BLANK[flat[high - 1]]:
-            blanks = np.flatnonzero(_BLANK[flat[high:high + _CHUNK]])
-            high = high + int(blanks[0]) + 1 if len(blanks) else min(len(flat), high + _CHUNK)
+            blanks = np.flatnonzero(_BLANK[flat[high:high + CHUNK]])
+            high = high + int(blanks[0]) + 1 if len(blanks) else min(len(flat), high + CHUNK)
         yield flat[low:high]
         low = high
 
 
 def words(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all rows, and where each row's words begin."""
-    if len(flat) > _CHUNK and len(offsets) == 2:
-        parts = [_hashed(p, np.zeros(0, np.int64))[0] for p in _pieces(flat)]
+    if len(flat) > CHUNK and len(offsets) == 2:
+        parts = [word_bounds(p, np.zeros(0, np.int64))[0] for p in pieces(flat)]
         found = np.concatenate(parts)
         return found, np.array([0, len(found)])
-    found, starts = _hashed(flat, offsets)
+    found, starts, _ = word_bounds(flat, offsets)
     return found, np.searchsorted(starts, offsets)
 
 
