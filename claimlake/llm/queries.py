@@ -11,7 +11,9 @@ from claimlake.llm.mixing import mix_sources
 from claimlake.llm.near_dedup import near_duplicates
 from claimlake.llm.oracle import ORACLE as ORACLE
 from claimlake.llm.quality import score_quality
+from claimlake.llm.secrets import find_secrets, span_text
 from claimlake.llm.sharding import record_size, shuffle_shards
+from claimlake.llm.topk import top_k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,11 +47,28 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.col("_grown_shard").alias("grown_shard"))
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_table(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_source_mix": op3_source_mix,
     "op6_quality": op6_quality,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_sharding": op8_sharding,
+    "op9_top_k": op9_top_k,
+    "op10_secrets": op10_secrets,
     "pipeline": corpus_pipeline.run,
 }
