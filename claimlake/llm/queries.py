@@ -14,6 +14,7 @@ from claimlake.llm.quality import score_quality
 from claimlake.llm.secrets import find_secrets, span_text
 from claimlake.llm.sharding import record_size, shuffle_shards
 from claimlake.llm.topk import top_k
+from claimlake.llm.toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"),
@@ -64,6 +69,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
     "op3_source_mix": op3_source_mix,
     "op6_quality": op6_quality,
     "op7_near_duplicates": op7_near_duplicates,
