@@ -5,10 +5,11 @@ are candidates; their signatures are compared, then their full shingle sets; the
 the confirmed links follow by alternating large-star and small-star.
 
 * Equal texts are one node from the start, so a group of copies costs one row.
-* Within a band's bucket every text is compared with the bucket's least node. Only buckets in
-  which texts of more than one component remain are looked at again, in blocks of bounded size
-  dealt over tasks, and there only pairs across components: no pairs are listed within groups
-  that already hang together, and no bucket is capped.
+* Within a band's bucket every text is compared with the bucket's least node, and components
+  are formed. Only buckets in which texts of more than one component remain are looked at
+  again: texts outside the least node's component against the others, in blocks of bounded size
+  dealt over tasks. Signatures and sets are compared there in place, and only confirmed links
+  leave a task, one for each text and component. No bucket is capped.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from claimlake.llm.components import connected_components
 #: (over four standard errors of 128 minima).
 MARGIN = 0.18
 #: Texts of one block of a bucket.
-BLOCK = 512
+BLOCK = 256
 
 
 def _sign(bands: int, rows: int, seed: int):
@@ -66,8 +67,10 @@ def _bands(bands: int, rows: int):
             for r in range(rows):
                 keys = S.mix(keys * np.uint64(0x9E3779B97F4A7C15) + cells[:, :, r])
             node = np.repeat(batch.column("node").to_numpy(), bands)
+            band = np.tile(np.arange(bands, dtype=np.int32), len(keys))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel().view(np.int64)), pa.array(node)], ["bucket", "node"])
+                [pa.array(keys.ravel().view(np.int64)), pa.array(band), pa.array(node)],
+                ["bucket", "band", "node"])
 
     return run
 
@@ -81,13 +84,32 @@ def _agree(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Recor
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _across(bands: int, least: float, best: bool):
-    """Pairs across components of one block pair of one bucket, of which the signatures agree."""
+def _set_of(flat: np.ndarray) -> np.ndarray:
+    return np.unique(S.shingles(*S.words(flat, np.array([0, len(flat)])))[0])
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _across(bands: int, percent: int):
+    """Links across components between two blocks of a bucket (or within one), confirmed on full
+    sets: one for each text of the first block and component it is linked with."""
+    least = percent / 100 - MARGIN
 
     def run(table: pa.Table) -> pa.Table:
-        col = {c: table.column(c).to_numpy() for c in ("node", "component", "side")}
+        col = {c: table.column(c).to_numpy() for c in ("node", "component", "side", "band")}
         sig = text_bytes(table.column("signature"))[0].view("<u4").reshape(len(table), -1)
-        own = bool(table.column("same")[0].as_py())
+        flat, offsets = text_bytes(table.column("bytes"))
+        sets: dict[int, np.ndarray] = {}
+
+        def full(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = _set_of(flat[offsets[i]:offsets[i + 1]])
+            return sets[i]
+
+        own = table.column("kind")[0].as_py() == 0
         left = np.flatnonzero(col["side"] == 0)
         right = left if own else np.flatnonzero(col["side"] == 1)
         out_a, out_b = [], []
@@ -95,19 +117,19 @@ def _across(bands: int, least: float, best: bool):
             other = right[col["component"][right] != col["component"][i]]
             if own:
                 other = other[col["node"][other] > col["node"][i]]
-            if not len(other):
-                continue
-            share = (sig[other] == sig[i]).mean(axis=1)
-            good = share >= least
-            other, share = other[good], share[good]
-            if best and len(other):  # the likeliest partner in each component
-                order = np.lexsort((-share, col["component"][other]))
-                other = other[order]
-                other = other[np.append(True, np.diff(col["component"][other]) != 0)]
-            out_a += [col["node"][i]] * len(other)
-            out_b += list(col["node"][other])
-        a, b = np.array(out_a, np.int64), np.array(out_b, np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            same = sig[other] == sig[i]
+            share = same.mean(axis=1)
+            # a pair meets in each band in which it agrees; it is looked at in the first of them
+            first = same.reshape(len(other), bands, -1).all(axis=2).argmax(axis=1) if len(other) else share
+            good = (share >= least) & (first == col["band"][i])
+            done = set()
+            for j in other[good][np.argsort(-share[good], kind="stable")]:
+                c = int(col["component"][j])
+                if c not in done and _similar(full(int(i)), full(int(j)), percent):
+                    done.add(c)
+                    out_a.append(col["node"][i])
+                    out_b.append(col["node"][j])
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
     return run
 
@@ -115,95 +137,104 @@ def _across(bands: int, least: float, best: bool):
 def _confirm(percent: int):
     """Pairs whose full sets share at least ``percent`` of their union."""
 
-    def sets(column: pa.Array, known: dict):
-        flat, offsets = text_bytes(column)
-        for i in range(len(column)):
-            part = flat[offsets[i]:offsets[i + 1]]
-            yield np.unique(S.shingles(*S.words(part, np.array([0, len(part)])))[0])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = None, None  # pairs come ordered by a
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             a = batch.column("a").to_pylist()
-            flat, offsets = text_bytes(batch.column("text_a"))
-            for i, other in enumerate(sets(batch.column("text_b"), {})):
+            x, x_at = text_bytes(batch.column("text_a"))
+            y, y_at = text_bytes(batch.column("text_b"))
+            for i in range(batch.num_rows):
                 if a[i] != last:
-                    part = flat[offsets[i]:offsets[i + 1]]
-                    held = np.unique(S.shingles(*S.words(part, np.array([0, len(part)])))[0])
-                    last = a[i]
-                both = len(np.intersect1d(held, other, assume_unique=True))
-                keep[i] = both > 0 and 100 * both >= percent * (len(held) + len(other) - both)
+                    held, last = _set_of(x[x_at[i]:x_at[i + 1]]), a[i]
+                keep[i] = _similar(held, _set_of(y[y_at[i]:y_at[i + 1]]), percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
 
-class _Texts:
-    """Classes of equal texts with their signatures, and checks of pairs of them."""
-
-    def __init__(self, docs: DataFrame, nodes: DataFrame, percent: int):
-        self.docs, self.nodes, self.percent = docs, nodes, percent
-        self.least = percent / 100 - MARGIN
-
-    def linked(self, pairs: DataFrame, checked: bool) -> DataFrame:
-        """Confirmed links among pairs (a, b); ``checked``: their signatures were compared."""
-        if not checked:
-            sig = self.nodes.select("node", "signature")
-            pairs = (
-                pairs.join(sig.toDF("b", "sig_b"), "b").join(sig.toDF("a", "sig_a"), "a")
-                .select("a", "b", "sig_a", "sig_b")
-                .mapInArrow(lambda it, least=self.least: _agree(it, least), "a long, b long"))
-        pairs = stage(pairs, "pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = wanted.join(self.nodes.select("node", "least_id", "digest"), "node")
-        texts = self.docs.select("_id", "_bytes", "_digest").join(
-            wanted, F.col("_id").eqNullSafe(F.col("least_id")) & (F.col("_digest") == F.col("digest")))
-        texts = texts.dropDuplicates(["node"]).select("node", "_bytes")
-        full = (
-            pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
-            .select("a", "b", "text_a", "text_b").sortWithinPartitions("a"))
-        return stage(full.mapInArrow(_confirm(self.percent), "a long, b long"), "links")
-
-
-def _leftover(members: DataFrame, component: DataFrame, nodes: DataFrame, bands: int,
-              percent: int, best: bool) -> DataFrame:
-    """Candidate pairs across components within buckets, the bucket's least node left out."""
-    rows = members.where("node <> pivot").join(component, "node")
+def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One text of each wanted node: (node, bytes)."""
+    wanted = nodes.select("node", "least_id", "digest").join(wanted, "node")
+    found = docs.join(
+        wanted, F.col("_id").eqNullSafe(F.col("least_id")) & (F.col("_digest") == F.col("digest")))
+    return found.dropDuplicates(["node"]).select("node", F.col("_bytes").alias("bytes"))
+
+
+def _star_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links of the texts of each bucket with its least node."""
+    pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    sig = nodes.select("node", "signature")
+    pairs = (
+        pairs.join(sig.toDF("b", "sig_b"), "b").join(sig.toDF("a", "sig_a"), "a")
+        .select("a", "b", "sig_a", "sig_b")
+        .mapInArrow(lambda it, least=percent / 100 - MARGIN: _agree(it, least), "a long, b long"))
+    pairs = stage(pairs, "pairs")
+    texts = _texts(docs, nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    full = (
+        pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+        .select("a", "b", "text_a", "text_b").sortWithinPartitions("a"))
+    return stage(full.mapInArrow(_confirm(percent), "a long, b long"), "links")
+
+
+def _other_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, component: DataFrame,
+                 bands: int, percent: int) -> DataFrame:
+    """Confirmed links across components within buckets, beside those of the least nodes."""
+    rows = members.join(component, "node")
+    beside = F.when(F.col("node") != F.col("pivot"), F.col("component"))
     mixed = rows.groupBy("bucket").agg(
-        F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    # sizes of linked sets differ by less than one class of this ratio, so only classes s and s + 1 meet
-    rows = rows.join(mixed.select("bucket"), "bucket").join(
-        nodes.select("node", "n_shingles", "signature"), "node")
-    rows = rows.withColumn(
-        "s", F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(100 / percent) + 1e-9))
-    blocks = rows.groupBy("bucket", "s").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    own = blocks.withColumnsRenamed({"s": "s_own", "blocks": "n_own"})
-    up = blocks.select(F.col("bucket").alias("ub"), (F.col("s") - 1).alias("us"), F.col("blocks").alias("n_up"))
-    down = blocks.select(F.col("bucket").alias("db"), (F.col("s") + 1).alias("ds"), F.col("blocks").alias("n_down"))
-    plan = own.join(up, (F.col("bucket") == F.col("ub")) & (F.col("s_own") == F.col("us")), "left").join(
-        down, (F.col("bucket") == F.col("db")) & (F.col("s_own") == F.col("ds")), "left").select(
-        F.col("bucket").alias("pb"), "s_own", "n_own", F.coalesce("n_up", F.lit(0)).alias("n_up"),
-        F.coalesce("n_down", F.lit(0)).alias("n_down"))
-    rows = rows.join(plan, (F.col("bucket") == F.col("pb")) & (F.col("s") == F.col("s_own")))
-    i = F.pmod(F.xxhash64("node"), F.col("n_own"))
+        F.min(beside).alias("x"), F.max(beside).alias("y"),
+        F.max(F.when(F.col("node") == F.col("pivot"), F.col("component"))).alias("main")).where("x < y")
+    rows = rows.where("node <> pivot").join(mixed.select("bucket", "main"), "bucket")
+    rows = rows.join(nodes.select("node", "n_shingles"), "node")
+    # sets that are linked differ in size by less than one class of this ratio: s meets s and s + 1
+    rows = stage(rows.select(
+        "bucket", "band", "node", "component", (F.col("component") == F.col("main")).alias("in_main"),
+        F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(100 / percent) + 1e-9).alias("s")), "mixed")
+    blocks = rows.groupBy("bucket", "s").agg(
+        F.ceil(F.sum((~F.col("in_main")).cast("int")) / BLOCK).alias("rest"),
+        F.ceil(F.sum(F.col("in_main").cast("int")) / BLOCK).alias("main"))
+    shape = lambda d, tag: blocks.select(F.col("bucket").alias(f"b{tag}"), (F.col("s") + d).alias(f"s{tag}"),
+                                         F.struct("rest", "main").alias(tag))
+    zero = F.struct(F.lit(0).cast("long").alias("rest"), F.lit(0).cast("long").alias("main"))
+    plan = shape(0, "own")
+    for d, tag in ((-1, "up"), (1, "down")):
+        plan = plan.join(shape(d, tag), (F.col("bown") == F.col(f"b{tag}")) & (F.col("sown") == F.col(f"s{tag}")), "left")
+    plan = plan.select("bown", "sown", "own", F.coalesce("up", zero).alias("up"), F.coalesce("down", zero).alias("down"))
+    rows = rows.join(plan, (F.col("bucket") == F.col("bown")) & (F.col("s") == F.col("sown")))
     none = F.array().cast("array<struct<lo:bigint,i:bigint,j:bigint,kind:int,side:int>>")
 
     def cell(lo, x, y, kind, side):
         return F.struct(lo.cast("long").alias("lo"), x.cast("long").alias("i"), y.cast("long").alias("j"),
-                        F.lit(kind).alias("kind"), side.cast("int").alias("side"))
-
-    upto = lambda n, f: F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1), f)).otherwise(none)
-    same = upto(F.col("n_own"), lambda k: cell(
-        F.col("s"), F.least(i, k), F.greatest(i, k), 0, (i > k)))
-    above = upto(F.col("n_up"), lambda k: cell(F.col("s"), i, k, 1, F.lit(0)))
-    below = upto(F.col("n_down"), lambda k: cell(F.col("s") - 1, k, i, 1, F.lit(1)))
-    dealt = rows.select("bucket", "node", "component", "signature",
-                        F.explode(F.concat(same, above, below)).alias("c"))
-    dealt = dealt.select("bucket", "node", "component", "signature", "c.lo", "c.i", "c.j", "c.kind", "c.side",
-                         ((F.col("c.kind") == 0) & (F.col("c.i") == F.col("c.j"))).alias("same"))
-    return dealt.groupBy("bucket", "lo", "i", "j", "kind").applyInArrow(
-        _across(bands, percent / 100 - MARGIN, best), "a long, b long").distinct()
+                        kind.cast("int").alias("kind"), F.lit(side).cast("int").alias("side"))
+
+    def upto(n, f):
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1), f)).otherwise(none)
+
+    # kinds tell block pairs apart: 0 within a block, 1 and 2 within a size class, 3 to 5 across two
+    s, own, up, down = (F.col(c) for c in ("s", "own", "up", "down"))
+    i = F.pmod(F.xxhash64("node"), F.when(F.col("in_main"), own["main"]).otherwise(own["rest"]))
+    rest = F.concat(
+        F.array(cell(s, i, i, F.lit(0), 0)),
+        F.filter(upto(own["rest"], lambda k: cell(s, F.least(i, k), F.greatest(i, k), F.lit(1), 0)), lambda c: c["i"] < c["j"]),
+        upto(own["main"], lambda k: cell(s, i, k, F.lit(2), 0)),
+        upto(up["rest"], lambda k: cell(s, i, k, F.lit(3), 0)),
+        upto(up["main"], lambda k: cell(s, i, k, F.lit(4), 0)),
+        upto(down["rest"], lambda k: cell(s - 1, k, i, F.lit(3), 1)),
+        upto(down["main"], lambda k: cell(s - 1, k, i, F.lit(5), 1)))
+    main = F.concat(
+        upto(own["rest"], lambda k: cell(s, k, i, F.lit(2), 1)),
+        upto(down["rest"], lambda k: cell(s - 1, k, i, F.lit(4), 1)),
+        upto(up["rest"], lambda k: cell(s, i, k, F.lit(5), 0)))
+    dealt = rows.select("bucket", "band", "node", "component", i.alias("block"),
+                        F.explode(F.when(F.col("in_main"), main).otherwise(rest)).alias("c"))
+    dealt = dealt.select("bucket", "band", "node", "component", "c.lo", "c.i", "c.j", "c.kind",
+                         F.when(F.col("c.kind") == 1, (F.col("block") == F.col("c.j")).cast("int"))
+                         .otherwise(F.col("c.side")).alias("side"))
+    texts = _texts(docs, nodes, rows.select("node").distinct()).join(nodes.select("node", "signature"), "node")
+    dealt = dealt.join(texts, "node")
+    return stage(dealt.groupBy("bucket", "lo", "i", "j", "kind").applyInArrow(
+        _across(bands, percent), "a long, b long"), "across")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -231,28 +262,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .agg(F.min("_id").alias("least_id"), F.first("n_shingles").alias("n_shingles"),
              F.first("signature").alias("signature"))
         .withColumn("node", F.monotonically_increasing_id()), "nodes")
-    banded = nodes.select("node", "signature").mapInArrow(_bands(bands, rows), "bucket long, node long")
+    banded = nodes.select("node", "signature").mapInArrow(_bands(bands, rows), "bucket long, band int, node long")
     shared = banded.groupBy("bucket").agg(
         F.min("node").alias("pivot"), F.count("*").alias("c")).where("c > 1").drop("c")
     members = stage(banded.join(shared, "bucket"), "members")
 
-    texts = _Texts(source, nodes, percent)
-    star = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    links = texts.linked(star.distinct(), checked=False)
+    links = _star_links(source, nodes, members, percent)
     known = stage(connected_components(links), "components")
-
-    def labelled():
-        return nodes.select("node").join(known, "node", "left").select(
-            "node", F.coalesce("component", "node").alias("component"))
-
-    for best in (True, False):  # first the likeliest pair of each component, then whatever is left
-        pairs = stage(_leftover(members, labelled(), nodes, bands, percent, best), "across")
-        if pairs.isEmpty():
-            break
-        found = texts.linked(pairs, checked=True)
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            known = stage(connected_components(links), "components")
+    component = nodes.select("node").join(known, "node", "left").select(
+        "node", F.coalesce("component", "node").alias("component"))
+    more = _other_links(source, nodes, members, component, bands, percent)
+    if not more.isEmpty():
+        known = stage(connected_components(links.unionByName(more)), "components")
 
     label = stage(nodes.select("node", "digest", "least_id").join(known, "node", "left").withColumn(
         "component", F.coalesce("component", "node")), "labels")
