@@ -13,6 +13,7 @@ from claimlake.llm.oracle import ORACLE as ORACLE
 from claimlake.llm.quality import score_quality
 from claimlake.llm.secrets import find_secrets, span_text
 from claimlake.llm.sharding import record_size, shuffle_shards
+from claimlake.llm.token_counts import edited_counts, read_vocabulary, redactions
 from claimlake.llm.topk import top_k
 from claimlake.llm.toxicity import score_toxicity
 
@@ -36,6 +37,17 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("_copies").alias("copies"))
 
 
+#: A rank file of a public byte-level vocabulary, and what the edits of the query take out.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+PERSONAL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|\+?[0-9][0-9 ()-]{6,}[0-9]"
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts before and after mail addresses and long numbers are redacted."""
+    edits = redactions(F.col("text"), PERSONAL, "[redacted]")
+    return edited_counts(_table(spark, sf_dir, "documents"), read_vocabulary(spark, VOCABULARY), edits).drop("tree_sums")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -71,6 +83,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_source_mix": op3_source_mix,
+    "op5_token_counts": op5_token_counts,
     "op6_quality": op6_quality,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_sharding": op8_sharding,
