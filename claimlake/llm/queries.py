@@ -13,6 +13,7 @@ from claimlake.llm.oracle import ORACLE as ORACLE
 from claimlake.llm.quality import score_quality
 from claimlake.llm.secrets import find_secrets, span_text
 from claimlake.llm.sharding import record_size, shuffle_shards
+from claimlake.llm.suffix_dedup import remove_repeats
 from claimlake.llm.token_counts import edited_counts, read_vocabulary, redactions
 from claimlake.llm.topk import top_k
 from claimlake.llm.toxicity import score_toxicity
@@ -37,6 +38,13 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("_copies").alias("copies"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", size.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 #: A rank file of a public byte-level vocabulary, and what the edits of the query take out.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PERSONAL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|\+?[0-9][0-9 ()-]{6,}[0-9]"
@@ -83,6 +91,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_source_mix": op3_source_mix,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_quality": op6_quality,
     "op7_near_duplicates": op7_near_duplicates,
