@@ -78,7 +78,7 @@ def _dense(sorted_key: np.ndarray, order: np.ndarray, n: int) -> np.ndarray:
 
 
 def merge(shards: list[Shard], sizes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(string, offset, common) of the rows of the merged transform in sorted order, for strings
+    """Merge at most eight shards: (string, offset, common) of the rows of the merged transform in sorted order, for strings
     that still share ``depth`` bytes with others or among themselves; ``common`` is the length
     of the prefix a row shares with the row above it, at most ``depth``.
 
@@ -102,12 +102,14 @@ def merge(shards: list[Shard], sizes: np.ndarray, depth: int) -> tuple[np.ndarra
         order = np.argsort(symbol, kind="stable")
         dealt = symbol[order]
         # neighbours differ in h bytes if their first bytes do, or if the rows they come from did in h - 1
-        behind = np.cumsum(common < h - 1, dtype=np.int32)[order]
+        # one gather brings a row's shard and the block of h - 1 bytes that it comes from
+        rows = ((np.cumsum(common < h - 1, dtype=np.int32) << 3) | weave)[order]
+        behind = rows >> 3
         split = np.empty(len(weave), bool)
         split[:1] = True
         np.not_equal(dealt[1:], dealt[:-1], out=split[1:])
         split[1:] |= behind[1:] != behind[:-1]
-        weave = weave[order]
+        weave = (rows & 7).astype(np.uint8)
         ends = sum(marks)
         weave[:ends] = np.repeat(np.arange(len(shards), dtype=np.uint8), marks)
         split[:ends] = True

@@ -10,7 +10,8 @@ strings have equal anchors, so each anchor with what surrounds it is a collectio
   documents, so that a common stretch leaves a batch once, and then over all of them.
 * Where an anchor has several classes, one stretch of each is fetched, and the transforms of
   shards of such stretches are merged by iterative interleave refinement (``bwt``). Its
-  repeated intervals are the strings that occur in more than one class.
+  repeated intervals are the strings that occur in more than one class. Parts of stretches that
+  differ from all others in the bytes that their strings have in common are cut off before.
 """
 
 from __future__ import annotations
@@ -32,11 +33,12 @@ _LOW = np.uint64((1 << 24) - 1)
 
 
 def _stretches(flat: np.ndarray, offsets: np.ndarray, length: int):
-    """(row, start, positions, anchor, class) of the stretches of some rows."""
+    """(row, start, positions, anchor, class, offset of the anchor) of the stretches of some rows."""
     n = len(flat)
     starts = n - length + 1
+    nothing = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),)
     if starts <= 0:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        return nothing
     sums = S.prefix_hash(flat)
     _, down = S.powers(n)
     grams = n - ANCHOR + 1
@@ -53,7 +55,7 @@ def _stretches(flat: np.ndarray, offsets: np.ndarray, length: int):
     valid = np.arange(starts) + length <= offsets[row + 1]
     at = np.flatnonzero(valid)
     if not len(at):
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+        return nothing
     new = np.append(True, (np.diff(at) != 1) | (anchor[at][1:] != anchor[at][:-1]) | (row[at][1:] != row[at][:-1]))
     first = at[new]
     count = np.diff(np.append(np.flatnonzero(new), len(at)))
@@ -62,7 +64,7 @@ def _stretches(flat: np.ndarray, offsets: np.ndarray, length: int):
     body = (sums[end] - sums[first]) * down[first]
     same = S.mix(body ^ S.mix((count.astype(np.uint64) << np.uint64(32)) | (a - first).astype(np.uint64)))
     owner = row[first]
-    return owner, first - offsets[owner], count, key[a], same
+    return owner, first - offsets[owner], count, key[a], same, a - first
 
 
 def _merged(start: np.ndarray, end: np.ndarray, row: np.ndarray):
@@ -87,8 +89,8 @@ def _long_text(part: np.ndarray, length: int, most: int = 1 << 22):
     out = []
     for low in range(0, max(1, len(part) - length + 1), most):
         piece = part[low:low + most + length - 1]
-        row, start, count, key, same = _stretches(piece, np.array([0, len(piece)]), length)
-        out.append((row, start + low, count, key, same))
+        row, start, *rest = _stretches(piece, np.array([0, len(piece)]), length)
+        out.append((row, start + low, *rest))
     return [np.concatenate(c) for c in zip(*out, strict=True)]
 
 
@@ -109,7 +111,7 @@ def _scan(length: int):
                 found.append((row + low, *rest))
             if not found:
                 continue
-            row, start, count, key, same = (np.concatenate(c) for c in zip(*found, strict=True))
+            row, start, count, key, same, _ = (np.concatenate(c) for c in zip(*found, strict=True))
             order = np.lexsort((start, rid[row], same, key))
             row, start, count, key, same = (c[order] for c in (row, start, count, key, same))
             again = np.append(False, (key[1:] == key[:-1]) & (same[1:] == same[:-1])) if len(key) else np.zeros(0, bool)
@@ -185,12 +187,48 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["key", "rid", "start", "bytes"])
 
 
+def _promising(texts: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(text, offset, bytes) of the parts of stretches that may hold a string of another one.
+
+    The positions of a stretch fall into ranges by their distance to the anchor. All strings of
+    a range share the bytes in their midst, so a range of which no other stretch has those
+    bytes cannot hold a repeated string, and is cut off.
+    """
+    flat, offsets = text_bytes(texts)
+    span = length - ANCHOR
+    wide = max(1, span // 4)
+    own, first, upto, mark = [], [], [], []
+    for low, high in slices(offsets):
+        part, at = flat[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low]
+        row, start, count, key, _, anchor = _stretches(part, at, length)
+        sums = S.prefix_hash(part)
+        _, down = S.powers(len(part))
+        begin = at[row] + start
+        for q in range(span // wide + 1):
+            # positions with q * wide <= distance < (q + 1) * wide
+            a = np.maximum(0, anchor - (q + 1) * wide + 1)
+            b = np.minimum(count - 1, anchor - q * wide)
+            some = np.flatnonzero(a <= b)
+            s = begin[some] + anchor[some] - q * wide
+            e = begin[some] + anchor[some] - (q + 1) * wide + 1 + length
+            mark.append(S.mix((sums[e] - sums[s]) * down[s] + S.mix(key[some] + np.uint64(q))))
+            own.append(row[some] + low)
+            first.append(start[some] + a[some])
+            upto.append(start[some] + b[some])
+    own, first, upto, mark = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (own, first, upto, mark))
+    _, which, many = np.unique(mark, return_inverse=True, return_counts=True)
+    keep = many[which] > 1 if len(mark) else np.zeros(0, bool)
+    row, start, end = _merged(first[keep], upto[keep] + 1, own[keep])
+    return row, start, [flat[offsets[r] + s:offsets[r] + e + length - 1].tobytes() for r, s, e in zip(row, start, end, strict=True)]
+
+
 def _intervals(length: int):
     """Spans of the strings of a bucket of stretches that also start in an earlier one."""
 
     def run(table: pa.Table) -> pa.Table:
-        rid, start = table.column("rid").to_numpy(), table.column("start").to_numpy()
-        interval, string, offset = repeated([b.as_py() for b in table.column("bytes")], length, 2)
+        row, cut, texts = _promising(table.column("bytes").combine_chunks(), length)
+        rid, start = table.column("rid").to_numpy()[row], table.column("start").to_numpy()[row] + cut
+        interval, string, offset = repeated(texts, length, 2)
         place = start[string] + offset
         order = np.lexsort((place, rid[string], interval))
         interval, string, place = interval[order], string[order], place[order]
