@@ -57,8 +57,8 @@ def held_out(doc_id: Column) -> Column:
 
 def unit(seed: int, *columns: Column) -> Column:
     """A number in (0, 1) that depends on the seed and the values only."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11)
-    return (bits.cast("double") + 0.5) / F.lit(float(1 << 53))
+    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 12)
+    return (bits.cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

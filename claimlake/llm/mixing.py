@@ -66,9 +66,9 @@ def _level(size: Column) -> Column:
 def _rank(size: Column, rate: Column, u: Column, power: float) -> Column:
     """Place in [0, 1) in the Pareto ranking: q / (1 + q) for q = odds of u / odds of p."""
     p = rate * F.pow(F.lit(2.0), power * _level(size))
-    q = (u / (1 - u)) * ((1 - p) / p)
-    return F.when(size == 0, F.lit(None)).when(p >= 1, F.lit(0.0)).otherwise(
-        F.least(q / (1 + q), F.lit(1.0 - 2.0**-52)))
+    q = F.try_divide(u * (1 - p), (1 - u) * p)
+    place = F.least(F.coalesce(q / (1 + q), F.lit(1.0)), F.lit(1.0 - 2.0**-52))
+    return F.when(size == 0, F.lit(None)).when(p >= 1, F.lit(0.0)).otherwise(place)
 
 
 def _rates(slim: DataFrame, targets: DataFrame, power: float) -> DataFrame:
