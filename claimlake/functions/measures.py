@@ -17,8 +17,9 @@ __all__ = [
 FULL_PAYMENT_RATIO = 0.99
 LATE_AFTER_DAYS = 30
 
-# Money to a hundredth of a cent: net amounts are products of price and discount.
-MONEY = "decimal(18,4)"
+# Money to a hundredth of a cent: net amounts are products of price and discount. Amounts below
+# 10^24 fit; NaN is no amount and counts as missing.
+MONEY = "decimal(28,4)"
 
 _MICROS_PER_DAY = 86_400_000_000
 

@@ -1,15 +1,13 @@
 """Equi-joins that hold when one key carries a large share of the rows.
 
-Two ways to join, chosen by a checked size:
-
-* ``attach`` broadcasts a dimension whose row count was checked to be small;
-* ``salted_join`` shuffles both sides, and splits keys that are heavy over many tasks.
-
-Heavy keys are found exactly and cheaply before the join: rows are counted per hash
-bucket of the key, which gives at most ``BUCKETS`` rows per side whatever the input,
-nearly all of it combined on the map side, and keys only inside heavy buckets. Only
-key columns are read for it. Where no key is heavy, which is the usual case, the join
-is an ordinary one.
+* ``attach`` broadcasts a dimension whose bytes were checked to be small, and joins a larger
+  one like a fact. Keys are compared by one rule on either way (``key_kind``).
+* ``salted_join`` is a plain join, which adaptive execution splits where one side is skewed and
+  may be split: either side of an inner join, the left one of a left or anti join. Where the
+  right side of a left join is heavy, count its keys once on the stored tables with
+  ``heavy_keys`` and pass them: their rows are then dealt over as many tasks as they need.
+
+No input is counted or evaluated before a join unless the caller asks for it.
 """
 
 from __future__ import annotations
@@ -18,16 +16,17 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ByteType, IntegerType, LongType, NumericType, ShortType, StringType,
+)
 
 BUCKETS = 1 << 14
-MAX_SPLITS = 256
-# A key is heavy above this many rows and above this multiple of the mean bucket.
+# Rows of one key that one task takes.
 HEAVY_ROWS = 1_000_000
-HEAVY_FACTOR = 8
-# Dimensions up to this many rows are broadcast.
-BROADCAST_ROWS = 500_000
+# Dimensions up to this many bytes are broadcast.
+BROADCAST_BYTES = 64 << 20
 
 _LEFT, _RIGHT = "_left_splits", "_right_splits"
 _A, _B, _HIT = "_salt_left", "_salt_right", "_right_row"
@@ -37,8 +36,8 @@ _NO_KEY = -1
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Keys to split, as (key parts..., left splits, right splits), at most
-    BUCKETS / HEAVY_FACTOR per side, and the splits of left rows without a key."""
+    """Keys to split, as (key parts..., left splits, right splits), at most one for each
+    ``HEAVY_ROWS`` rows of a side, and the splits of left rows without a key."""
 
     rows: list[tuple]
     no_key_splits: int = 1
@@ -56,63 +55,91 @@ def _bucket(keys: list[str]) -> Column:
     return F.when(_complete(keys), hashed).otherwise(_NO_KEY).cast("int")
 
 
-def _splits(n: int, limit: float) -> int:
-    return min(MAX_SPLITS, -int(-n // limit))
+def _splits(n: int, limit: int) -> int:
+    return -(-n // limit)
 
 
 def heavy_keys(
     left: DataFrame, right: DataFrame | None, keys: list[str],
     heavy_rows: int = HEAVY_ROWS,
 ) -> HeavyKeys:
-    """Keys that hold more rows of a side than one task should get."""
+    """Keys that hold more rows of a side than one task should get.
+
+    Rows are counted per hash bucket of the key first, at most ``BUCKETS`` + 1 counts a side and
+    combined before they are shuffled, and per key only inside buckets above ``heavy_rows``.
+    Both inputs are read for it, so call it on stored tables and keep what it returns.
+    """
     sides = {0: left} if right is None else {0: left, 1: right}
-    loads = reduce(
-        DataFrame.union,
-        [
-            df.groupBy(_bucket(keys).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-            .select("bucket", F.lit(side).alias("side"), "n")
-            for side, df in sides.items()
-        ],
-    )
-    # At most BUCKETS + 1 rows per side reach this window.
-    mean = F.sum("n").over(Window.partitionBy("side")) / F.lit(float(BUCKETS))
-    limit = F.greatest(F.lit(float(heavy_rows)), HEAVY_FACTOR * mean)
-    heavy = loads.withColumn("limit", limit).filter("n > limit").collect()
     no_key, merged = 1, {}
     for side, df in sides.items():
-        found = [r for r in heavy if r["side"] == side]
+        loads = df.groupBy(_bucket(keys).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+        found = loads.filter(F.col("n") > heavy_rows).collect()
         if side == 0:
-            no_key = max([_splits(r["n"], r["limit"]) for r in found
-                          if r["bucket"] == _NO_KEY], default=1)
-        found = [r for r in found if r["bucket"] != _NO_KEY]
-        if not found:
+            no_key = max([_splits(r["n"], heavy_rows) for r in found if r["bucket"] == _NO_KEY], default=1)
+        inside = [r["bucket"] for r in found if r["bucket"] != _NO_KEY]
+        if not inside:
             continue
-        limit_rows = found[0]["limit"]
-        inside = _bucket(keys).isin([r["bucket"] for r in found])
-        counted = df.filter(inside).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        for row in counted.filter(F.col("_n") > limit_rows).collect():
+        counted = df.filter(_bucket(keys).isin(inside)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        for row in counted.filter(F.col("_n") > heavy_rows).collect():
             *key, n = row
-            merged.setdefault(tuple(key), [1, 1])[side] = _splits(n, limit_rows)
+            merged.setdefault(tuple(key), [1, 1])[side] = _splits(n, heavy_rows)
     return HeavyKeys([(*k, l, r) for k, (l, r) in merged.items()], no_key)
 
 
+def key_kind(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> str:
+    """The type that two keys are compared in: their own if it is one, bigint for whole numbers,
+    double for other numbers, and text for all else."""
+    a, b = left.schema[left_key].dataType, right.schema[right_key].dataType
+    if a == b:
+        return a.simpleString()
+    whole = (ByteType, ShortType, IntegerType, LongType)
+    if isinstance(a, whole) and isinstance(b, whole):
+        return "bigint"
+    if isinstance(a, NumericType) and isinstance(b, NumericType):
+        return "double"
+    return "string"
+
+
+def _alike(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame | None:
+    """The right side with keys of the left side's types, or None if only a common type serves."""
+    for k in keys:
+        kind = key_kind(left, right, k, k)
+        if kind != left.schema[k].dataType.simpleString():
+            return None
+        right = right.withColumn(k, F.col(k).cast(kind))
+    return right
+
+
+def plain_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, null_safe: bool = False) -> DataFrame:
+    """Join on same-named keys of any types; the left side's keys stay. ``null_safe``: missing
+    keys match each other."""
+    same = None if null_safe else _alike(left, right, keys)
+    if same is not None:
+        return left.join(same, keys, how)
+    kinds = {k: key_kind(left, right, k, k) for k in keys}
+    names = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    other = right.withColumns({names[k]: F.col(k).cast(kinds[k]) for k in keys}).drop(*keys)
+    equal = "eqNullSafe" if null_safe else "__eq__"
+    on = reduce(lambda x, y: x & y, [getattr(left[k].cast(kinds[k]), equal)(other[names[k]]) for k in keys])
+    return left.join(other, on, how).drop(*names.values())
+
+
 def _salted(
     df: DataFrame, keys: list[str], heavy: DataFrame, own: str, other: str,
-    own_salt: str, other_salt: str, spread: Iterable[str], copy: bool,
-    no_key_splits: int = 1,
+    own_salt: str, other_salt: str, copy: bool, no_key_splits: int = 1,
 ) -> DataFrame:
     """Add the side's own salt, and one copy per split of the opposite side.
 
-    The salt depends only on the input partition, which deals out even exact copies,
-    and the ``spread`` columns: not on row order, so that a retried task puts every
-    row where it was before.
+    The salt depends on all columns of the row and the input partition: not on row order, so
+    that a retried task puts every row where it was before. Only exact copies of one input
+    partition stay together.
     """
     columns = df.columns
     df = df.join(F.broadcast(heavy), keys, "left")
     n = F.coalesce(F.col(own), F.lit(1))
     if no_key_splits > 1:
         n = F.when(_complete(keys), n).otherwise(no_key_splits)
-    deal = F.pmod(F.xxhash64(F.spark_partition_id(), *spread), n)
+    deal = F.pmod(F.xxhash64(F.spark_partition_id(), *columns), n)
     df = df.withColumn(own_salt, F.when(n > 1, deal).otherwise(0).cast("int"))
     copies = F.lit(0)
     if copy:
@@ -126,32 +153,26 @@ def salted_join(
     on: str | Iterable[str],
     how: str = "left",
     right_unique: bool = False,
-    spread_left: Iterable[str] = (),
-    spread_right: Iterable[str] = (),
-    heavy_rows: int = HEAVY_ROWS,
+    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
-    """Exact inner, left or left-anti equi-join on same-named keys, heavy keys split.
+    """Exact inner, left or left-anti equi-join on same-named keys.
 
-    Rows of a heavy left key are dealt over its splits and the matching right rows
-    copied to each; for a heavy right key the other way round. ``right_unique``
-    says that a key occurs once on the right, which leaves left rows uncopied. The
-    ``spread_*`` columns tell rows of one key apart. Filter the inputs beforehand:
-    filters do not move below the salt, and the loads are counted on what is passed.
+    Without ``heavy`` keys it is a plain join. Rows of a heavy left key are dealt over its
+    splits and the matching right rows copied to each; for a heavy right key the other way
+    round. ``right_unique`` says that a key occurs once on the right, which leaves left rows
+    uncopied. Filter the inputs beforehand: filters do not move below a salt.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    kinds = {k: (left.schema[k].dataType, right.schema[k].dataType) for k in keys}
-    if any(a != b for a, b in kinds.values()):
-        raise TypeError(f"key types differ: {kinds}")
-
     if how == "left_anti":
         right, right_unique = right.select(*keys).distinct(), True
-    if right_unique:
-        spread_right = ()  # one row per key needs no dealing out
-    heavy = heavy_keys(left, None if right_unique else right, keys, heavy_rows)
     if not heavy:
-        return left.join(right, keys, how)
+        return plain_join(left, right, keys, how)
+    alike = _alike(left, right, keys)
+    if alike is None:
+        raise TypeError("heavy keys need keys of one type")
+    right = alike
 
     right = right.dropna(subset=keys)
     key_types = ", ".join(f"`{k}` {left.schema[k].dataType.simpleString()}" for k in keys)
@@ -159,9 +180,9 @@ def salted_join(
         heavy.rows, f"{key_types}, {_LEFT} int, {_RIGHT} int"
     )
     no_key = 1 if how == "inner" else heavy.no_key_splits
-    l = _salted(left, keys, splits, _LEFT, _RIGHT, _A, _B, spread_left,
+    l = _salted(left, keys, splits, _LEFT, _RIGHT, _A, _B,
                 copy=not right_unique, no_key_splits=no_key)
-    r = _salted(right, keys, splits, _RIGHT, _LEFT, _B, _A, spread_right, copy=True)
+    r = _salted(right, keys, splits, _RIGHT, _LEFT, _B, _A, copy=True)
     r = r.drop(_LEFT)
     on_salt = [*keys, _A, _B]
     if how != "left" or right_unique:
@@ -180,17 +201,23 @@ def salted_join(
     return joined.select(*order)
 
 
+def _stored_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: its texts, and eight for each other column."""
+    texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema if isinstance(f.dataType, StringType)]
+    return reduce(lambda x, y: x + y, texts, F.lit(8 * (len(df.columns) + 1)))
+
+
 def check_dimensions(
     dims: Mapping[str, DataFrame], keys: Mapping[str, str]
 ) -> dict[str, int]:
-    """Row count of each dimension, in one job; a repeated key is an error.
+    """Bytes of each dimension, in one job; a repeated key is an error.
 
     A repeated key would multiply fact rows, and with them every total.
     """
     counts = [
-        dim.groupBy(keys[name]).agg(F.count(F.lit(1)).alias("n")).agg(
+        dim.groupBy(keys[name]).agg(F.count(F.lit(1)).alias("n"), F.sum(_stored_bytes(dim)).alias("bytes")).agg(
             F.lit(name).alias("name"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
             F.max(F.when(F.col(keys[name]).isNotNull(), F.col("n"))).alias("most"),
         )
         for name, dim in dims.items()
@@ -199,38 +226,39 @@ def check_dimensions(
     repeated = [r["name"] for r in found if (r["most"] or 0) > 1]
     if repeated:
         raise ValueError(f"repeated keys in dimensions: {sorted(repeated)}")
-    return {r["name"]: r["rows"] for r in found}
+    return {r["name"]: r["bytes"] for r in found}
 
 
-def row_counts(dims: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Row count of each table, in one job."""
+def table_bytes(dims: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Bytes of each table, in one job."""
     if not dims:
         return {}
     counts = [
-        dim.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"))
+        dim.agg(F.lit(name).alias("name"), F.coalesce(F.sum(_stored_bytes(dim)), F.lit(0)).alias("bytes"))
         for name, dim in dims.items()
     ]
     found = reduce(DataFrame.union, counts).collect()  # one row per table
-    return {r["name"]: r["rows"] for r in found}
+    return {r["name"]: r["bytes"] for r in found}
 
 
 def attach(
-    facts: DataFrame, dim: DataFrame, on: str | list[str], rows: int,
-    broadcast_rows: int = BROADCAST_ROWS, unique: bool = True,
+    facts: DataFrame, dim: DataFrame, on: str | list[str], size: int,
+    broadcast_bytes: int = BROADCAST_BYTES, null_safe: bool = False,
 ) -> DataFrame:
-    """Left join to a dimension whose row count was checked to be ``rows``."""
-    if rows <= broadcast_rows:
-        return facts.join(F.broadcast(dim), on, "left")
-    return salted_join(facts, dim, on, "left", right_unique=unique)
+    """Left join to a dimension that was checked to have ``size`` bytes."""
+    keys = [on] if isinstance(on, str) else list(on)
+    if size <= broadcast_bytes:
+        dim = F.broadcast(dim)
+    return plain_join(facts, dim, keys, "left", null_safe)
 
 
 def attach_role(
     facts: DataFrame, dim: DataFrame, dim_key: str, fact_key: str,
-    labels: Mapping[str, str], rows: int, broadcast_rows: int = BROADCAST_ROWS,
+    labels: Mapping[str, str], size: int, broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Attach ``labels`` (dimension column -> output column) through ``fact_key``."""
     view = dim.select(
         F.col(dim_key).alias(fact_key),
         *[F.col(c).alias(out) for c, out in labels.items()],
     ).dropna(subset=[fact_key])
-    return attach(facts, view, fact_key, rows, broadcast_rows)
+    return attach(facts, view, fact_key, size, broadcast_bytes)

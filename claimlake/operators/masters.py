@@ -100,7 +100,7 @@ def unlicensed_referrals(tables: Tables) -> DataFrame:
     known = tables["licences"].select(
         F.col("doctor_license_number").alias("clinician_id")
     )
-    return salted_join(named, known, "clinician_id", "left_anti", spread_left=["name"])
+    return salted_join(named, known, "clinician_id", "left_anti")
 
 
 def _placed_doctors(tables: Tables) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from claimlake.functions import clean_activity_id
 from claimlake.operators.facts import ACTIVITY, latest_denial, received_dates
 from claimlake.operators.joins import (
-    attach, attach_role, check_dimensions, row_counts, salted_join,
+    HeavyKeys, attach, attach_role, check_dimensions, salted_join, table_bytes,
 )
 from claimlake.operators.masters import (
     Tables, denial_codes, doctors_with_departments, encounter_types,
@@ -64,16 +64,16 @@ _BUILD = {
 
 @dataclass(frozen=True)
 class Dimensions:
-    """Dimensions with checked row counts and unique keys."""
+    """Dimensions with checked sizes in bytes and unique keys."""
 
     frames: dict[str, DataFrame]
-    rows: dict[str, int]
+    sizes: dict[str, int]
 
     def attach(self, facts: DataFrame, roles: Iterable[tuple]) -> DataFrame:
         """Attach the labels of every role; the fact row count does not change."""
         for name, dim_key, fact_key, labels in roles:
             facts = attach_role(
-                facts, self.frames[name], dim_key, fact_key, labels, self.rows[name]
+                facts, self.frames[name], dim_key, fact_key, labels, self.sizes[name]
             )
         return facts
 
@@ -132,13 +132,15 @@ def with_doctor_roles(
 
 
 def match_claims(
-    claims: DataFrame, remittance: DataFrame, how: str = "left"
+    claims: DataFrame, remittance: DataFrame, how: str = "left", heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """Claims with their payments, on claim and cleaned activity id.
 
-    Remittance columns that a claim has too are prefixed ``ra_``.
+    The cleaned id is derived wherever the activity id is there, also if the claims declare a
+    column for it. Remittance columns that a claim has too are prefixed ``ra_``. ``heavy``
+    names activities with more payments than one task should get.
     """
-    if "cleaned_activityid" not in claims.columns:
+    if "activityid" in claims.columns:
         claims = claims.withColumn("cleaned_activityid", clean_activity_id("activityid"))
     keys = {"claim_id": "claimid", "activity_id": "cleaned_activityid"}
     taken = set(claims.columns)
@@ -148,10 +150,7 @@ def match_claims(
             for c in remittance.columns
         ]
     )
-    return salted_join(
-        claims, paid, ["claimid", "cleaned_activityid"], how,
-        spread_left=["activityid"], spread_right=["transaction_date", "received_amount"],
-    )
+    return salted_join(claims, paid, ["claimid", "cleaned_activityid"], how, heavy=heavy)
 
 
 def with_latest_denial(claims: DataFrame, remittance: DataFrame) -> DataFrame:
@@ -162,7 +161,6 @@ def with_latest_denial(claims: DataFrame, remittance: DataFrame) -> DataFrame:
     )
     return salted_join(
         claims, denied, ["claimid", "activityid"], "left", right_unique=True,
-        spread_left=["bill_finalized_date"],
     )
 
 
@@ -180,7 +178,6 @@ def with_received_dates(rows: DataFrame, remittance: DataFrame) -> DataFrame:
     """Payment rows with the received dates of their activity over all remittance."""
     return salted_join(
         rows, received_dates(remittance), ACTIVITY, "left", right_unique=True,
-        spread_left=["transaction_date"],
     )
 
 
@@ -209,7 +206,7 @@ def join_masters(
     master key repeats the fact row. ``null_safe`` lets missing keys match each other.
     """
     used = {name: masters[name] for name in mapping if name in masters}
-    rows = row_counts(used)
+    sizes = table_bytes(used)
     for name, master in used.items():
         keys = [mapping[name]] if isinstance(mapping[name], str) else list(mapping[name])
         taken = set(fact.columns)
@@ -220,11 +217,5 @@ def join_masters(
             ]
         )
         order = [*fact.columns, *(c for c in side.columns if c not in keys)]
-        if null_safe:
-            # As JSON, a missing key is a value like any other.
-            whole_key = F.to_json(F.struct(*keys))
-            fact = fact.withColumn("_key", whole_key)
-            side = side.withColumn("_key", whole_key).drop(*keys)
-            keys = ["_key"]
-        fact = attach(fact, side, keys, rows[name], unique=False).select(*order)
+        fact = attach(fact, side, keys, sizes[name], null_safe=null_safe).select(*order)
     return fact

@@ -62,44 +62,42 @@ def center_metrics(matched: DataFrame) -> DataFrame:
 
 
 def with_group_values(
-    rows: DataFrame, key: str, values: Mapping[str, Column], spread: tuple[str, ...] = ()
+    rows: DataFrame, key: str, values: Mapping[str, Column]
 ) -> DataFrame:
     """Aggregates per key on each row.
 
     Same result as an unordered window over the key, but rows are aggregated before
-    the shuffle and a heavy key is split, where a window needs all rows of a key in
+    the shuffle and a heavy key can be split, where a window needs all rows of a key in
     one task. Rows without a key form one group, as they do in a window.
     """
     named = rows.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(key)), F.lit("")))
     per_key = named.groupBy("_key").agg(*[v.alias(n) for n, v in values.items()])
-    joined = salted_join(named, per_key, "_key", "left", right_unique=True,
-                         spread_left=spread)
+    joined = salted_join(named, per_key, "_key", "left", right_unique=True)
     return joined.select(*rows.columns, *values)
 
 
 def with_claim_totals(
     rows: DataFrame, key: str = "claimid", claimed: str = "netclaim",
-    approved: str = "received_amount", spread: tuple[str, ...] = (),
+    approved: str = "received_amount",
 ) -> DataFrame:
     """Claimed and approved total of the claim on each row."""
     values = {
         "total_claim_amount": exact_sum(claimed),
         "total_approved_amount": exact_sum(approved),
     }
-    return with_group_values(rows, key, values, spread)
+    return with_group_values(rows, key, values)
 
 
 def with_total_paid(
     rows: DataFrame, key: str = "claim_id", paid: str = "received_amount",
-    spread: tuple[str, ...] = (),
 ) -> DataFrame:
-    return with_group_values(rows, key, {"total_paid_amount": exact_sum(paid)}, spread)
+    return with_group_values(rows, key, {"total_paid_amount": exact_sum(paid)})
 
 
 def with_denial_count(
-    rows: DataFrame, key: str = "claim_id", spread: tuple[str, ...] = ()
+    rows: DataFrame, key: str = "claim_id"
 ) -> DataFrame:
-    return with_group_values(rows, key, {"denial_count": F.count("denial_code")}, spread)
+    return with_group_values(rows, key, {"denial_count": F.count("denial_code")})
 
 
 def remittance_per_claim(remittance: DataFrame) -> DataFrame:
@@ -131,10 +129,7 @@ def claims_with_payments(claims: DataFrame, remittance: DataFrame) -> DataFrame:
             "payment_ratio": share_or_zero("total_paid_amount", "total_claim_amount"),
         }
     )
-    joined = salted_join(
-        claims, per_claim, "claimid", "left", right_unique=True,
-        spread_left=["activityid"],
-    )
+    joined = salted_join(claims, per_claim, "claimid", "left", right_unique=True)
     return joined.withColumn("processing_days", processing_days())
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlake.operators.quantiles import exact_quantiles
-from claimlake.schemas import SENSITIVE
 
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FLOATS = (T.FloatType, T.DoubleType)
@@ -147,15 +146,17 @@ def numeric_profile(df: DataFrame, columns: Iterable[str] | None = None) -> Data
 
 
 def most_common(
-    df: DataFrame, columns: Iterable[str] | None = None, n: int = MOST_COMMON
+    df: DataFrame, columns: Iterable[str] | None = None, n: int = MOST_COMMON,
+    exclude: Iterable[str] = (),
 ) -> DataFrame:
     """The ``n`` most common values per column, ties in value order.
 
-    Sensitive columns are left out. Only ``n`` rows per column leave each task: the
+    Columns in ``exclude`` are left out, whatever their case. Only ``n`` rows per column leave each task: the
     planner limits the groups before the shuffle.
     """
     wanted = string_columns(df) if columns is None else list(columns)
-    wanted = [c for c in wanted if c.lower() not in SENSITIVE]
+    left_out = {c.lower() for c in exclude}
+    wanted = [c for c in wanted if c.lower() not in left_out]
     place = F.row_number().over(
         Window.partitionBy("column_name").orderBy(F.desc("n"), "value")
     )

@@ -104,8 +104,7 @@ def exact_quantiles(
 
     def narrow(rows: DataFrame, places: DataFrame, on: list[str]) -> DataFrame:
         if keys:
-            return salted_join(rows, places, on, "inner", right_unique=True,
-                               spread_left=["v"])
+            return salted_join(rows, places, on, "inner", right_unique=True)
         # At most two rows per column and quantile.
         return rows.join(F.broadcast(places), on)
 

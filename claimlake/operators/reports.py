@@ -58,11 +58,11 @@ def payments_per_activity(remittance: DataFrame) -> DataFrame:
 
 
 def denial_patterns(matched: DataFrame) -> DataFrame:
-    """Per denial code: claims denied, amount denied and recovered, recovery rate;
+    """Per denial code of the payment (``ra_denial_code`` where the claim has one too): claims denied, amount denied and recovered, recovery rate;
     most frequent code first. Without denial codes there is nothing to report."""
     names = ["denial_code", "denied_claims", "denied_amount", "recovered_amount",
              "recovery_rate"]
-    if "denial_code" not in matched.columns:
+    if not {"denial_code", "ra_denial_code"} & set(matched.columns):
         kinds = ["string", "bigint", "double", "double", "double"]
         return matched.sparkSession.createDataFrame(
             [], ", ".join(f"{n} {k}" for n, k in zip(names, kinds))
@@ -71,6 +71,8 @@ def denial_patterns(matched: DataFrame) -> DataFrame:
     def total(column: str) -> Column:
         return F.coalesce(exact_sum(column, 2), F.lit(0.0))
 
+    if "ra_denial_code" in matched.columns:
+        matched = matched.drop("denial_code").withColumnRenamed("ra_denial_code", "denial_code")
     return (
         matched.filter(F.col("denial_code").isNotNull())
         .groupBy("denial_code")

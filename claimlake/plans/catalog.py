@@ -383,6 +383,14 @@ on_claims_tables("j7_match_left")(_match("left"))
 on_claims_tables("j7_match_inner")(_match("inner"))
 
 
+@on_claims_tables("j7_match_conformed")
+def _(t):
+    """The match over claims brought to their declared columns first."""
+    rows = match.match_claims(readers.conform(t["claims"], CLAIMS), t["remittance"])
+    return rows.select(*ACTIVITY, "cleaned_activityid", "netclaim", "ra_seq", "received_amount",
+                       "transaction_date")
+
+
 @on_claims_tables("j8_doctor_roles")
 def _(t):
     return match.with_doctor_roles(t["claims"], t).select(
@@ -498,19 +506,19 @@ def _(t):
     matched = match.match_claims(t["claims"], t["remittance"], "left").select(
         *ACTIVITY, "ra_seq", "netclaim", "received_amount"
     )
-    return metrics.with_claim_totals(matched, spread=("activityid", "ra_seq"))
+    return metrics.with_claim_totals(matched)
 
 
 @on_claims_tables("w3_total_paid")
 def _(t):
     paid = t["remittance"].select(*PAYMENT, "received_amount")
-    return metrics.with_total_paid(paid, spread=("activity_id", "ra_seq"))
+    return metrics.with_total_paid(paid)
 
 
 @on_claims_tables("w4_denial_count")
 def _(t):
     paid = t["remittance"].select(*PAYMENT, "denial_code")
-    return metrics.with_denial_count(paid, spread=("activity_id", "ra_seq"))
+    return metrics.with_denial_count(paid)
 
 
 # --- sorts, limits, sets ---------------------------------------------------------

@@ -28,21 +28,22 @@ select 'C' || l_orderkey as claimid, 'M' || o_custkey as memberid,
   case when s % 3 <> 0 then 'S' || ((s + 2) % 100) end as payee_doctor_id,
   case when s % 4 <> 0 then 'S' || ((s + 3) % 100) end as prescribing_dr_id,
   'S' || ((s + 4) % 100) as admitting_dr_id,
-  strftime(o_orderdate, '%d/%m/%Y') as encounterstart, 'P' || (p % 30) as plan_id, 'I' || (o_custkey % 20) as insurance_co_id,
-  'T' || (o_custkey % 4) as tpa_id, cast(o_custkey % 5 as int) as org_id
+  strftime(o_orderdate, '%d/%m/%Y') as encounterstart, case when p % 30 = 0 then 'P-' else 'P' || p end as plan_id, case when o_custkey % 20 = 0 then 'I-' else 'I' || o_custkey end as insurance_co_id,
+  'T' || (o_custkey % 4) as tpa_id, cast(o_custkey % 5 as int) as org_id,
+  case when l_orderkey % 3 = 0 then 'E' || l_linenumber end as denial_code
 from l join orders on l_orderkey = o_orderkey""",
     "remittance": """
 select 'C' || l_orderkey as claim_id, l_orderkey || '.' || l_linenumber as activity_id,
-  cast(row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate, l_partkey, l_suppkey, l_extendedprice) as int) as ra_seq,
+  cast(row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_returnflag) as int) as ra_seq,
   l_shipdate as transaction_date,
-  case when l_returnflag = 'R' then 'D' || (l_partkey % 9) end as denial_code,
+  case when l_returnflag = 'R' and l_partkey % 11 = 0 then 'D-' when l_returnflag = 'R' then 'D' || l_suppkey end as denial_code,
   cast(case when l_returnflag = 'R' then 0 else cast(l_extendedprice as decimal(12,2)) * cast((10 - l_partkey % 3) as decimal(3,0)) end as double) / 10 as received_amount,
   case when l_partkey % 50 = 0 then cast(0 as double) else l_extendedprice end as insurance_claim_amt,
   cast(l_suppkey % 5 as int) as org_id, 'R' || l_partkey as reference_no
 from lineitem where l_returnflag <> 'N'""",
     "open_claims": """
 select 'C' || o_orderkey as claimid, case when o_orderkey % 10 = 0 then 'n/a' else strftime(o_orderdate, '%d/%m/%Y') || ' 10:00' end as start_date,
-  cast(o_custkey % 25 as varchar(9)) as center_id, 'P' || (o_custkey % 30) as plan_id, 'I' || (o_custkey % 20) as insurance_co_id,
+  cast(o_custkey % 25 as varchar(9)) as center_id, case when o_custkey % 30 = 0 then 'P-' else 'P' || o_custkey end as plan_id, case when o_custkey % 20 = 0 then 'I-' else 'I' || o_custkey end as insurance_co_id,
   case when o_custkey % 3 <> 0 then 'S' || (o_custkey % 100) end as payee_doctor_id,
   case when o_custkey % 4 <> 0 then 'S' || ((o_custkey + 1) % 100) end as prescribing_dr_id,
   'S' || ((o_custkey + 2) % 100) as admitting_dr_id, o_totalprice as gross
@@ -52,9 +53,9 @@ select ' ' || n_nationkey || ' ' as center_id, n_name as center_name, 'H' || n_n
     "clusters": """
 select 'K' || r_regionkey as cluster_id, r_name as cluster_name, n_nationkey || ' ' as center_id from nation join region on n_regionkey = r_regionkey where n_nationkey % 6 <> 5""",
     "insurers": """
-select 'I' || c_custkey as insurance_co_id, c_name as insurance_co_name from customer where c_custkey < 18""",
+select 'I' || c_custkey as insurance_co_id, c_name as insurance_co_name from customer""",
     "plans": """
-select 'P' || p_partkey as plan_id, 'G' || (p_partkey % 8) as category_id, p_name as plan_name, 'RR' || p_size as rateplan_rule_id from part where p_partkey < 28""",
+select 'P' || p_partkey as plan_id, 'G' || (p_partkey % 8) as category_id, p_name as plan_name, 'RR' || p_size as rateplan_rule_id from part""",
     "categories": """
 select 'G' || (p_partkey % 8) as category_id, min(p_type) as category_name from part where p_partkey % 8 < 6 group by 'G' || (p_partkey % 8)""",
     "organizations": """
@@ -64,7 +65,7 @@ select distinct substr(o_orderpriority, 1, 1) as id, substr(o_orderpriority, 3,
     "tpa": """
 select 'T' || r_regionkey as tpa_id, case when r_regionkey % 2 = 0 then 'XML' else 'XLS' end as claim_format from region""",
     "denial_codes": """
-select 'D' || s_suppkey as denial_code, 'reason ' || s_suppkey as code_description, case s_suppkey % 3 when 0 then 'payer' when 1 then 'provider' end as responsibility from supplier where s_suppkey < 8""",
+select 'D' || s_suppkey as denial_code, 'reason ' || s_suppkey as code_description, case s_suppkey % 3 when 0 then 'payer' when 1 then 'provider' end as responsibility from supplier""",
     "doctors": """
 select 'S' || s_suppkey as doctor_id, s_name as doctor_name, 'spec' || (s_suppkey % 4) as specialization, 'N' || s_nationkey as dept_id from supplier""",
     "licences": """
@@ -72,7 +73,7 @@ select 'S' || s_suppkey as doctor_id, case when s_suppkey % 13 <> 0 then 'L' ||
     "departments": """
 select 'N' || n_nationkey as dept_id, 'dept ' || n_name as dept_name from nation where n_nationkey <> 24""",
     "referrals": """
-select case when c_custkey % 9 <> 0 then 'L' || (c_custkey % 150) end as clinician_id, c_name as name from customer where c_custkey < 300""",
+select case when c_custkey % 9 <> 0 then 'L' || c_custkey end as clinician_id, c_name as name from customer""",
     # Derived steps that several queries share.
     "prep": """
 select *, cast(try_strptime(encounterstart, '%d/%m/%Y') as date) as encounterstart_date,
@@ -120,11 +121,11 @@ select claim_id, activity_id, min(case when ra_seq = 2 then transaction_date end
   min(case when ra_seq = 4 then transaction_date end) as third_received
 from remittance group by claim_id, activity_id""",
     "matched": """
-select c.*, r.ra_seq, r.transaction_date, r.denial_code, r.received_amount, r.insurance_claim_amt,
+select c.*, r.ra_seq, r.transaction_date, r.denial_code as ra_denial_code, r.received_amount, r.insurance_claim_amt,
   r.org_id as ra_org_id, r.reference_no
 from prep c left join remittance r on c.claimid = r.claim_id and c.cleaned_activityid = r.activity_id""",
     "matched_inner": """
-select c.*, r.ra_seq, r.transaction_date, r.denial_code, r.received_amount, r.insurance_claim_amt,
+select c.*, r.ra_seq, r.transaction_date, r.denial_code as ra_denial_code, r.received_amount, r.insurance_claim_amt,
   r.org_id as ra_org_id, r.reference_no
 from prep c join remittance r on c.claimid = r.claim_id and c.cleaned_activityid = r.activity_id""",
     "claim_totals": """
@@ -197,7 +198,7 @@ def _conform(table: str, ddl: str, have: set[str], required: str) -> str:
 CLAIM_COLUMNS = set("""claimid memberid gross patientshare netclaim activitynet encountertype
 bill_finalized_date submission_date claim_status center_id activityid activitycode org_sub_seq
 clinician orderingclinician charge_head payee_doctor_id prescribing_dr_id admitting_dr_id
-encounterstart plan_id insurance_co_id tpa_id org_id""".split())
+encounterstart plan_id insurance_co_id tpa_id org_id denial_code""".split())
 REMITTANCE_COLUMNS = set("""claim_id activity_id ra_seq transaction_date denial_code
 received_amount insurance_claim_amt org_id reference_no""".split())
 
@@ -435,6 +436,8 @@ where transaction_date between '1994-01-01' and '1995-06-01'"""),
   org_id, ra_org_id from matched"""),
     "j7_match_inner": over("matched_inner", f"""select {ACT}, cleaned_activityid, netclaim, ra_seq, received_amount, transaction_date,
   org_id, ra_org_id from matched_inner"""),
+    "j7_match_conformed": over("matched", f"""select {ACT}, cleaned_activityid, netclaim, ra_seq, received_amount, transaction_date
+  from matched"""),
     "j8_doctor_roles": over("claims doctor_dim", f"""select {ACT}, {DOCTOR_LABELS} from claims c
 {doctor_joins('doctor_dim', 'c.clinician', 'c.orderingclinician')}"""),
     "j9_enrich_claims": over(f"prep {DIMS}", f"select {ACT}, {ENRICHED}, e.encounter_type_desc from prep c {ENRICH_CLAIMS}"),
@@ -460,8 +463,8 @@ left join (select case when doctor_id <> 'S1' then doctor_id end as k, doctor_na
 from matched where center_id is not null group by center_id"""),
     "a3_denial_patterns": over("matched_inner", f"""select denial_code, denied_claims, denied_amount, recovered_amount,
   round(recovered_amount / nullif(denied_amount, 0), 4) as recovery_rate from (
-  select denial_code, count(claimid) as denied_claims, {cents('netclaim')} as denied_amount,
-    {cents('received_amount')} as recovered_amount from matched_inner where denial_code is not null group by denial_code)
+  select ra_denial_code as denial_code, count(claimid) as denied_claims, {cents('netclaim')} as denied_amount,
+    {cents('received_amount')} as recovered_amount from matched_inner where ra_denial_code is not null group by ra_denial_code)
 order by denied_claims desc, denial_code"""),
     "a4_received_dates": over("received", "select * from received"),
     "a5_ordering_doctors": over("doctor_union", """select doctor_license_number, doctor_name, max(dept_name) as dept_name
@@ -595,12 +598,12 @@ where bill_finalized_date between '1993-01-01' and '1996-12-31' and try_cast(cen
   cast(extract(year from transaction_date) as int) as ra_year, cast(extract(month from transaction_date) as int) as ra_month
 {REMITTANCE_LABELS} where transaction_date between '1993-01-01' and '1997-12-31' and r.org_id in (0, 1, 3)"""),
     "b12_matched_extract": over("matched_inner hospital_dim plan_dim doctor_dim encounter_dim denial_dim", f"""select claimid,
-  cleaned_activityid as activityid, netclaim, claim_status, org_id, received_amount, insurance_claim_amt, transaction_date, denial_code,
+  cleaned_activityid as activityid, netclaim, claim_status, org_id, received_amount, insurance_claim_amt, transaction_date, ra_denial_code as denial_code,
   reference_no, ra_seq, h.center_name, h.cluster_name, p.plan_name, p.category_name, d.doctor_name, d.dept_name,
   e.encounter_type_desc, dc.denial_description, dc.denial_responsibility, {STATUS_BASIC} as new_claim_status
 from matched_inner c left join hospital_dim h on c.center_id = h.center_id left join plan_dim p on c.plan_id = p.plan_id
 left join doctor_dim d on c.doc_id = d.doctor_id left join encounter_dim e on c.encountertype = e.encountertype
-left join denial_dim dc on c.denial_code = dc.latest_denial_code
+left join denial_dim dc on c.ra_denial_code = dc.latest_denial_code
 where transaction_date between '1993-01-01' and '1997-12-31' and org_id in (1, 2)"""),
     "b13_coerce_facts": over("claims", """select claimid, memberid, case when center_id <> '7' then gross end as gross, patientshare, netclaim,
   encountertype, activitynet, bill_finalized_date, claim_status, center_id from claims"""),

@@ -1,19 +1,16 @@
 """Claims-shaped views over the order tables (region ... lineitem).
 
-Each view stands for one table of a claims warehouse. All are lazy, and read whole
-tables; the amounts use decimal arithmetic so that results are reproducible.
+Each view stands for one table of a claims warehouse. All are lazy and read whole tables;
+fact keys without a master row are planted on the fact side. The amounts use decimal arithmetic so that results are reproducible.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimlake.operators.joins import heavy_keys
-
 
 def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -75,50 +72,27 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(s % 4 != 0, _tag("S", (s + 3) % 100)).alias("prescribing_dr_id"),
         _tag("S", (s + 4) % 100).alias("admitting_dr_id"),
         _day_text("o_orderdate").alias("encounterstart"),
-        _tag("P", p % 30).alias("plan_id"),
-        _tag("I", F.col("o_custkey") % 20).alias("insurance_co_id"),
+        F.when(p % 30 == 0, "P-").otherwise(_tag("P", p)).alias("plan_id"),
+        F.when(F.col("o_custkey") % 20 == 0, "I-")
+        .otherwise(_tag("I", F.col("o_custkey"))).alias("insurance_co_id"),
         _tag("T", F.col("o_custkey") % 4).alias("tpa_id"),
         (F.col("o_custkey") % 5).cast("int").alias("org_id"),
+        # the code that the claim itself carries, which differs from its payment's
+        F.when(o % 3 == 0, _tag("E", line)).alias("denial_code"),
     )
 
 
-_ACTIVITY = ["l_orderkey", "l_linenumber"]
-_WITHIN_DAY = ["l_partkey", "l_suppkey", "l_extendedprice"]
-
-
-def number_payments(lines: DataFrame, by_day: bool) -> DataFrame:
-    """Payment ordinal ``ra_seq`` within the activity.
-
-    A window needs all rows of an activity in one task. ``by_day`` numbers the rows of
-    each day on their own and adds the rows of earlier days, so that only the days of
-    an activity, which the calendar bounds, meet in one task.
-    """
-    if not by_day:
-        order = Window.partitionBy(*_ACTIVITY).orderBy("l_shipdate", *_WITHIN_DAY)
-        return lines.withColumn("ra_seq", F.row_number().over(order))
-    day = [*_ACTIVITY, "l_shipdate"]
-    earlier = (
-        Window.partitionBy(*_ACTIVITY).orderBy("l_shipdate")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = lines.groupBy(*day).agg(F.count(F.lit(1)).alias("n")).select(
-        *day, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+def number_payments(lines: DataFrame) -> DataFrame:
+    """Payment ordinal ``ra_seq`` within the activity, an order line."""
+    order = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
+        "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag"
     )
-    number = F.row_number().over(Window.partitionBy(*day).orderBy(*_WITHIN_DAY))
-    return lines.withColumn("number", number).join(before, day).withColumn(
-        "ra_seq", (F.col("before") + F.col("number")).cast("int")
-    )
-
-
-@lru_cache(maxsize=64)
-def _has_heavy_activity(spark: SparkSession, sf_dir: str) -> bool:
-    """Looked up once per session and folder; reads the key columns only."""
-    return bool(heavy_keys(scan(spark, sf_dir, "lineitem"), None, _ACTIVITY))
+    return lines.withColumn("ra_seq", F.row_number().over(order))
 
 
 def remittance(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = scan(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") != "N")
-    lines = number_payments(lines, by_day=_has_heavy_activity(spark, sf_dir))
+    lines = number_payments(lines)
     o, p = F.col("l_orderkey"), F.col("l_partkey")
     tenths = F.col("l_extendedprice").cast("decimal(12,2)") * (10 - p % 3).cast(
         "decimal(3,0)"
@@ -130,7 +104,8 @@ def remittance(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("activity_id"),
         "ra_seq",
         F.col("l_shipdate").alias("transaction_date"),
-        F.when(denied, _tag("D", p % 9)).alias("denial_code"),
+        F.when(denied & (p % 11 == 0), "D-")
+        .when(denied, _tag("D", F.col("l_suppkey"))).alias("denial_code"),
         (F.when(denied, 0.0).otherwise(tenths.cast("double")) / 10)
         .alias("received_amount"),
         F.when(p % 50 == 0, 0.0).otherwise(F.col("l_extendedprice"))
@@ -150,8 +125,8 @@ def open_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(o % 10 == 0, "n/a")
         .otherwise(F.concat(_day_text("o_orderdate"), F.lit(" 10:00"))).alias("start_date"),
         (c % 25).cast("string").alias("center_id"),
-        _tag("P", c % 30).alias("plan_id"),
-        _tag("I", c % 20).alias("insurance_co_id"),
+        F.when(c % 30 == 0, "P-").otherwise(_tag("P", c)).alias("plan_id"),
+        F.when(c % 20 == 0, "I-").otherwise(_tag("I", c)).alias("insurance_co_id"),
         F.when(c % 3 != 0, _tag("S", c % 100)).alias("payee_doctor_id"),
         F.when(c % 4 != 0, _tag("S", (c + 1) % 100)).alias("prescribing_dr_id"),
         _tag("S", (c + 2) % 100).alias("admitting_dr_id"),
@@ -183,7 +158,7 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insurers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(spark, sf_dir, "customer").filter("c_custkey < 18").select(
+    return scan(spark, sf_dir, "customer").select(
         _tag("I", F.col("c_custkey")).alias("insurance_co_id"),
         F.col("c_name").alias("insurance_co_name"),
     )
@@ -191,7 +166,7 @@ def insurers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("p_partkey")
-    return scan(spark, sf_dir, "part").filter("p_partkey < 28").select(
+    return scan(spark, sf_dir, "part").select(
         _tag("P", p).alias("plan_id"),
         _tag("G", p % 8).alias("category_id"),
         F.col("p_name").alias("plan_name"),
@@ -230,7 +205,7 @@ def tpa(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def denial_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("s_suppkey")
-    return scan(spark, sf_dir, "supplier").filter("s_suppkey < 8").select(
+    return scan(spark, sf_dir, "supplier").select(
         _tag("D", s).alias("denial_code"),
         _tag("reason ", s).alias("code_description"),
         F.when(s % 3 == 0, "payer").when(s % 3 == 1, "provider").alias("responsibility"),
@@ -264,8 +239,8 @@ def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def referrals(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
-    return scan(spark, sf_dir, "customer").filter("c_custkey < 300").select(
-        F.when(c % 9 != 0, _tag("L", c % 150)).alias("clinician_id"),
+    return scan(spark, sf_dir, "customer").select(
+        F.when(c % 9 != 0, _tag("L", c)).alias("clinician_id"),
         F.col("c_name").alias("name"),
     )
 

@@ -68,7 +68,7 @@ def main(sf, names):
     sf_dir = f"/root/testdata/sf{sf}"
     con, sqls, failed = duck(sf_dir), oracle_sql(), 0
     for name, query in queries().items():
-        if names and name not in names:
+        if (names and name not in names) or name not in sqls:
             continue
         start = time.time()
         try:

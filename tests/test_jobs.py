@@ -15,7 +15,6 @@ from claimlake.plans.catalog import QUERIES
 from claimlake.plans.oracle import ORACLE
 from claimlake.schemas import TABLE_SPECS, TableSpec
 from claimlake.sources import readers, writers
-from claimlake.sources.driver_tables import number_payments
 
 
 def plan(df):
@@ -138,18 +137,3 @@ def test_matching_loses_no_payment_of_a_known_activity(spark, tables, how, rows)
     matched = match.match_claims(tables["claims"], tables["remittance"], how)
     paid = matched.filter("ra_seq IS NOT NULL").count()
     assert paid == tables["remittance"].count()
-
-
-def test_payments_numbered_by_day_equal_one_window(spark, tables):
-    from conftest import SF_DIR
-
-    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"
-    )
-    # Few activities, so that one holds many rows and days repeat.
-    lines = lines.withColumns({"l_orderkey": F.col("l_orderkey") % 3, "l_linenumber": F.lit(1)})
-    lines = lines.withColumn("l_shipdate", F.date_trunc("month", "l_shipdate"))
-    plain, split = (number_payments(lines, by_day) for by_day in (False, True))
-    assert plain.exceptAll(
-        split.select(*plain.columns)).count() == 0
-    assert split.count() == lines.count()

@@ -42,8 +42,8 @@ def test_split_join_equals_plain_join(spark, how, unique):
     if unique:
         right = right.groupBy("k").agg(F.max("b").alias("b"))
     plain = left.join(right, "k", how)
-    split = salted_join(left, right, "k", how, right_unique=unique, heavy_rows=5,
-                        spread_left=["a"], spread_right=["b"])
+    heavy = heavy_keys(left, None if unique else right, ["k"], heavy_rows=5)
+    split = salted_join(left, right, "k", how, right_unique=unique, heavy=heavy)
     assert "_salt_left" in split._jdf.queryExecution().toString()
     assert split.columns == plain.columns
     assert _rows(split) == _rows(plain)
@@ -53,8 +53,7 @@ def test_key_heavy_on_both_sides(spark):
     left = spark.range(60).select(F.lit("x").alias("k"), "id")
     right = spark.range(40).select(F.lit("x").alias("k"), F.col("id").alias("r"))
     for how in ("inner", "left"):
-        out = salted_join(left, right, "k", how, heavy_rows=5, spread_left=["id"],
-                          spread_right=["r"])
+        out = salted_join(left, right, "k", how, heavy=heavy_keys(left, right, ["k"], heavy_rows=5))
         assert out.count() == 2400
         assert out.distinct().count() == 2400
 
@@ -62,7 +61,7 @@ def test_key_heavy_on_both_sides(spark):
 def test_left_key_missing_on_the_right_is_kept_once(spark):
     left = spark.sql("select * from values ('x',1),('y',2),('z',3) as t(k,a)")
     right = spark.range(50).select(F.lit("x").alias("k"), F.col("id").alias("b"))
-    out = salted_join(left, right, "k", "left", heavy_rows=5, spread_right=["b"])
+    out = salted_join(left, right, "k", "left", heavy=heavy_keys(left, right, ["k"], heavy_rows=5))
     assert out.filter("k = 'x'").count() == 50
     assert out.filter("k <> 'x' and b is null").count() == 2
 
@@ -71,7 +70,8 @@ def test_composite_keys(spark):
     left, right = _sides(spark)
     left, right = left.withColumn("j", F.col("a") % 2), right.withColumn("j", F.col("b") % 2)
     plain = left.join(right, ["k", "j"], "left")
-    split = salted_join(left, right, ["k", "j"], "left", heavy_rows=5, spread_left=["a"])
+    heavy = heavy_keys(left, right, ["k", "j"], heavy_rows=5)
+    split = salted_join(left, right, ["k", "j"], "left", heavy=heavy)
     assert _rows(split) == _rows(plain)
 
 
@@ -90,17 +90,57 @@ def test_no_heavy_key_gives_an_ordinary_join(spark):
     assert "_salt_left" not in plan and "explode" not in plan
 
 
-def test_key_types_must_agree(spark):
-    with pytest.raises(TypeError):
-        salted_join(spark.range(3), spark.range(3).selectExpr("cast(id as int) id"), "id")
+def test_all_planned_splits_are_used_on_a_clustered_key(spark):
+    left = spark.range(4000, numPartitions=1).select(F.lit("x").alias("k"), F.lit("y").alias("same"), "id")
+    right = spark.sql("select 'x' k, 1 b")
+    heavy = heavy_keys(left, None, ["k"], heavy_rows=100)
+    assert heavy.rows == [("x", 40, 1)]
+    split = joins._salted(left, ["k"], spark.createDataFrame(heavy.rows, "k string, _left_splits int, _right_splits int"),
+                          "_left_splits", "_right_splits", "_salt_left", "_salt_right", copy=False)
+    assert split.select("_salt_left").distinct().count() == 40
+    assert salted_join(left, right, "k", "left", right_unique=True, heavy=heavy).count() == 4000
+
+
+@pytest.mark.parametrize("fact, dim, pairs", [
+    ("int", "string", 2), ("string", "int", 2), ("int", "bigint", 2), ("bigint", "int", 2), ("double", "int", 2),
+    ("string", "string", 2), ("decimal(9,2)", "double", 2)])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_key_types_meet_by_one_rule_on_both_sides_of_the_bound(spark, fact, dim, pairs, null_safe):
+    left = spark.sql(f"select cast(k as {fact}) k, a from values (1,'p'),(2,'q'),(9,'r'),(null,'s') t(k,a)")
+    right = spark.sql(f"select cast(k as {dim}) k, b from values (1,'x'),(2,'y'),(null,'z') t(k,b)")
+    small, big = (attach(left, right, "k", 100, broadcast_bytes=n, null_safe=null_safe) for n in (1000, 10))
+    assert small.columns == big.columns == ["k", "a", "b"]
+    assert small.schema["k"].dataType == left.schema["k"].dataType
+    assert _rows(small) == _rows(big)
+    assert small.filter("b is not null").count() == pairs + null_safe and small.count() == 4
+
+
+def test_adaptive_execution_splits_a_skewed_side(spark):
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 200_000, 1, 8).select(
+            F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 1000).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("a"))
+        out = salted_join(left, spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("b")), "k", "left", right_unique=True)
+        out.write.format("noop").mode("overwrite").save()
+        rows = out.collect()
+        assert len(rows) == 200_000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_dimension_above_the_size_bound_is_not_broadcast(spark):
     left, right = _sides(spark)
     dim = right.groupBy("k").agg(F.max("b").alias("b"))
-    rows = check_dimensions({"d": dim}, {"d": "k"})["d"]
-    small = attach(left, dim, "k", rows)
-    big = attach(left, dim, "k", rows, broadcast_rows=rows - 1)
+    size = check_dimensions({"d": dim}, {"d": "k"})["d"]
+    small = attach(left, dim, "k", size)
+    big = attach(left, dim, "k", size, broadcast_bytes=size - 1)
     assert "rightHint=(strategy=broadcast)" in small._jdf.queryExecution().toString()
     assert "strategy=broadcast" not in big._jdf.queryExecution().toString()
     assert _rows(small) == _rows(big)
@@ -128,10 +168,7 @@ def test_exact_quantiles_equal_the_builtin(spark, n):
     assert [got[0][p] for p in probs] == pytest.approx(want, rel=1e-12)
 
 
-@pytest.mark.parametrize("heavy_rows", [10, 1_000_000])
-def test_exact_quantiles_per_group(spark, monkeypatch, heavy_rows):
-    monkeypatch.setattr(joins.salted_join, "__defaults__",
-                        (*joins.salted_join.__defaults__[:-1], heavy_rows))
+def test_exact_quantiles_per_group(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 11).cast("string"))
         .alias("g"),
