@@ -58,6 +58,14 @@ def licensed_doctors(tables: Tables) -> DataFrame:
     return doctors.join(_departments(tables), "dept_id", "left")
 
 
+def licensed_doctor_dimension(tables: Tables) -> DataFrame:
+    """One row for each licensed doctor: of several licences the least number stands."""
+    licences = tables["licences"].groupBy("doctor_id").agg(
+        F.min("doctor_license_number").alias("doctor_license_number")
+    )
+    return licensed_doctors({"doctors": tables["doctors"], "departments": tables["departments"], "licences": licences})
+
+
 def doctors_with_departments(tables: Tables) -> DataFrame:
     return tables["doctors"].join(_departments(tables), "dept_id", "left")
 

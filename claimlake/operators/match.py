@@ -15,7 +15,7 @@ from claimlake.operators.joins import (
 )
 from claimlake.operators.masters import (
     Tables, denial_codes, doctors_with_departments, encounter_types,
-    hospitals_with_clusters, insurers, licensed_doctors, plans_with_categories,
+    hospitals_with_clusters, insurers, licensed_doctor_dimension, plans_with_categories,
 )
 
 # Dimension column -> output column, per role.
@@ -56,7 +56,7 @@ _BUILD = {
     "insurer": insurers,
     "plan": plans_with_categories,
     "doctor": doctors_with_departments,
-    "licensed_doctor": licensed_doctors,
+    "licensed_doctor": licensed_doctor_dimension,
     "encounter": encounter_types,
     "denial": denial_codes,
 }

@@ -462,9 +462,9 @@ on_claims_tables("a2_center_statistics")(lambda t: reports.center_statistics(_ce
 
 
 def _denials(t):
-    return reports.denial_patterns(
-        match.match_claims(t["claims"], t["remittance"], "inner")
-    )
+    # Only payments with a code are reported: the rest is not shuffled.
+    denied = rows.keep_present(t["remittance"], "denial_code")
+    return reports.denial_patterns(match.match_claims(t["claims"], denied, "inner"))
 
 
 on_claims_tables("a3_denial_patterns")(_denials)
@@ -707,6 +707,14 @@ on_claims_tables("b8_center_report_claim_grain")(
 )
 
 
+@on_claims_tables("b8_center_report_filtered")
+def _(t):
+    return jobs.center_report(
+        t, start="1993-01-01", end="1997-12-31", members={"org_id": [1, 2]},
+        paid_start="1994-01-01", paid_end="1996-12-31", paid_members={"org_id": [0, 1, 3]},
+    )
+
+
 @on_claims_tables("b8_matched_with_status")
 def _(t):
     return jobs.matched_with_status(t["claims"], t["remittance"], t).select(

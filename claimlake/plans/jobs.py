@@ -57,18 +57,25 @@ def matched_with_status(
 def center_report(
     tables: Tables, grain: str = "payment", start: Any = None, end: Any = None,
     members: Mapping[str, Iterable[Any]] | None = None,
+    paid_start: Any = None, paid_end: Any = None,
+    paid_members: Mapping[str, Iterable[Any]] | None = None,
 ) -> DataFrame:
     """Figures per center over claims and their payments.
 
     A claim with several payments counts once for each; ``grain="claim"`` first adds up
-    the payments of an activity. ``start`` and ``end`` bound the finalization date.
+    the payments of an activity. ``start`` and ``end`` bound the finalization date,
+    ``paid_start`` and ``paid_end`` the transaction date of payments; ``members`` and
+    ``paid_members`` keep the listed values of columns of claims and of payments.
     """
     if grain not in ("payment", "claim"):
         raise ValueError(f"unknown grain {grain!r}")
     claims = keep_members(
         date_range(tables["claims"], "bill_finalized_date", start, end), members or {}
     )
-    remittance = tables["remittance"]
+    remittance = keep_members(
+        date_range(tables["remittance"], "transaction_date", paid_start, paid_end),
+        paid_members or {},
+    )
     if grain == "claim":
         remittance = payments_per_activity(remittance)
     matched = match_claims(claims, remittance, "left")

@@ -575,6 +575,12 @@ select claimid as claim_id, encounter_start_date as encounterstart_date, center_
   cast(month(encounter_start_date) as int) as enc_month, center_name, cluster_name, insurance_co_name, plan_name, category_name,
   doctor_name, doctor_dept, ordering_doctor_name, ordering_doctor_dept
 from (select c.*, {ENRICHED} from opened c {ENRICH_OPEN})"""),
+    "b8_center_report_filtered": over("prep remittance hospital_dim", f""", kept as (
+  select c.*, r.received_amount, r.transaction_date from prep c left join (
+    select * from remittance where transaction_date between '1994-01-01' and '1996-12-31' and org_id in (0, 1, 3)) r
+  on c.claimid = r.claim_id and c.cleaned_activityid = r.activity_id
+  where c.org_id in (1, 2) and c.bill_finalized_date between '1993-01-01' and '1997-12-31')
+{center_report('kept')}"""),
     "b8_center_report_claim_grain": over("prep remittance hospital_dim", f""", paid as (select claim_id, activity_id,
     {money('received_amount')} as received_amount, max(transaction_date) as transaction_date from remittance group by claim_id, activity_id),
   per_activity as (select c.*, r.received_amount, r.transaction_date from prep c

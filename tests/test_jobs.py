@@ -137,3 +137,13 @@ def test_matching_loses_no_payment_of_a_known_activity(spark, tables, how, rows)
     matched = match.match_claims(tables["claims"], tables["remittance"], how)
     paid = matched.filter("ra_seq IS NOT NULL").count()
     assert paid == tables["remittance"].count()
+
+
+def test_a_doctor_with_two_licences_repeats_no_claim(spark, tables):
+    from claimlake.operators import match
+
+    more = tables["licences"].unionByName(
+        tables["licences"].withColumn("doctor_license_number", F.lit("Z")))
+    doubled = {**dict(tables), "licences": more}
+    claims = match.enrich_claims(facts.prepare_claims(tables["claims"]), doubled)
+    assert claims.count() == tables["claims"].count()
