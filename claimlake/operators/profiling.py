@@ -40,21 +40,30 @@ def string_columns(df: DataFrame) -> list[str]:
 
 def table_profile(df: DataFrame) -> DataFrame:
     """Rows, columns and duplicate rows (repeats after the first) of a table."""
-    return (
-        df.groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-            F.lit(len(df.columns)).alias("columns"),
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
-        )
+    # Hashes are counted; whole rows are compared only where a hash repeats.
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    counts = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("n"))
+    again = hashed.join(counts.filter("n > 1").select("_hash"), "_hash", "left_semi")
+    again = again.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias("repeats"))
+    rows = counts.agg(F.sum("n").alias("rows"), F.lit(0).cast("bigint").alias("repeats"))
+    repeats = again.agg(F.lit(0).cast("bigint").alias("rows"), F.sum("repeats").alias("repeats"))
+    return rows.unionByName(repeats).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.lit(len(df.columns)).alias("columns"),
+        F.coalesce(F.sum("repeats"), F.lit(0)).alias("duplicate_rows"),
     )
 
 
-def _as_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Listed columns as (column_name, value) rows of text; 0.0 and -0.0 are one."""
+def _as_text(df: DataFrame, columns: Iterable[str], instants: bool = False) -> DataFrame:
+    """Listed columns as (column_name, value) rows of text; 0.0 and -0.0 are one.
+
+    With ``instants`` a timestamp is its microseconds: as local text, two instants of the
+    hour that clocks repeat would be one.
+    """
     def text(c: str) -> Column:
         value = F.col(c)
+        if instants and isinstance(df.schema[c].dataType, T.TimestampType):
+            value = F.unix_micros(c)
         if isinstance(df.schema[c].dataType, FLOATS):
             value = F.when(~F.isnan(c), value + F.lit(0.0).cast(df.schema[c].dataType))
         return value.cast("string").alias(c)
@@ -65,10 +74,12 @@ def _as_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     )
 
 
-def value_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+def value_counts(
+    df: DataFrame, columns: Iterable[str], instants: bool = False
+) -> DataFrame:
     """How often each value of each column occurs, NULL included."""
     return (
-        _as_text(df, columns).groupBy("column_name", "value")
+        _as_text(df, columns, instants).groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -87,13 +98,13 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
         *[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())]
     )
     if approximate:
-        counts = _as_text(df, df.columns).groupBy("column_name").agg(
+        counts = _as_text(df, df.columns, instants=True).groupBy("column_name").agg(
             F.count(F.lit(1)).alias("rows"),
             F.count_if(F.col("value").isNull()).alias("null_count"),
             F.approx_count_distinct("value").alias("distinct_count"),
         )
     else:
-        counts = value_counts(df, df.columns).groupBy("column_name").agg(
+        counts = value_counts(df, df.columns, instants=True).groupBy("column_name").agg(
             F.sum("n").alias("rows"),
             F.coalesce(
                 F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)
@@ -171,9 +182,12 @@ def most_common(
 def string_lengths(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Mean length per string column."""
     columns = string_columns(df) if columns is None else list(columns)
-    return _as_text(df, columns).groupBy("column_name").agg(
-        F.avg(F.length("value")).alias("avg_length")
-    )
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_name string, avg_length double")
+    means = df.agg(*[F.avg(F.length(F.col(c).cast("string"))).alias(f"m{i}") for i, c in enumerate(columns)])
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("avg_length"))
+             for i, c in enumerate(columns)]
+    return means.select(F.inline(F.array(*cells)))
 
 
 def string_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

@@ -1,11 +1,13 @@
 """Exact quantiles without holding all values of a column or group in one task.
 
-The built-in exact percentile keeps a map of every distinct value in one buffer. Here
-values are counted once, combined on the map side, and stay distributed; all passes
-read that one shuffle. The wanted ranks are then located in three steps: by the leading
-digits of the value, by the following digits among the values that share them, and by
-value among the few that are left. A step hands at most two rows per quantile to the
-next.
+The built-in exact percentile keeps a map of every distinct value in one buffer. Here the
+wanted ranks are located in three steps: by the leading digits of the value, by the
+following digits among the values that share them, and by value among the few that are
+left. A step hands at most two rows per quantile to the next, which are broadcast.
+
+Over a whole column each step scans the input, and only counts per digit, combined on the
+map side, are shuffled; store an input that is costly to derive. Per group the values are
+counted once, and all steps read that one shuffle.
 """
 
 from __future__ import annotations
@@ -98,7 +100,10 @@ def exact_quantiles(
     long = numbers.unpivot(keys, columns, "column_name", "v").filter(
         F.col("v").isNotNull() & ~F.isnan("v")
     )
-    counts = long.groupBy(*keys, "column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    if keys:
+        counts = long.groupBy(*keys, "column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        counts = long.withColumn("n", F.lit(1).cast("bigint"))
     first, second = _digits(F.col("v"))
     long = counts.withColumns({"d1": first, "d2": second})
 

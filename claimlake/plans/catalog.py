@@ -601,9 +601,12 @@ def _(t):
 
 @on_scans("q7_table_profile")
 def _(spark, sf_dir):
-    pairs = scan(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_returnflag"
-    )
+    return profiling.table_profile(scan(spark, sf_dir, "lineitem"))
+
+
+@on_scans("q7_table_profile_repeats")
+def _(spark, sf_dir):
+    pairs = scan(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
     return profiling.table_profile(pairs)
 
 
@@ -625,10 +628,7 @@ def _(t):
 
 @on_scans("q9_numeric_profile")
 def _(spark, sf_dir):
-    profile = profiling.numeric_profile(
-        scan(spark, sf_dir, "lineitem"),
-        ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
-    )
+    profile = profiling.numeric_profile(scan(spark, sf_dir, "lineitem"))
     return profile.withColumns(
         {c: F.round(c, 4) for c in profile.columns if c != "column_name"}
     )
@@ -636,17 +636,13 @@ def _(spark, sf_dir):
 
 @on_scans("q10_string_profile")
 def _(spark, sf_dir):
-    profile = profiling.string_profile(
-        scan(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"]
-    )
+    profile = profiling.string_profile(scan(spark, sf_dir, "orders"))
     return profile.withColumn("avg_length", F.round("avg_length", 6))
 
 
 @on_scans("q11_correlations")
 def _(spark, sf_dir):
-    pairs = profiling.correlations(
-        scan(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"]
-    )
+    pairs = profiling.correlations(scan(spark, sf_dir, "lineitem"))
     return pairs.withColumn("correlation", F.round("correlation", 6))
 
 
@@ -657,11 +653,7 @@ def _(spark, sf_dir):
 
 @on_scans("t1_narrow_types")
 def _(spark, sf_dir):
-    return profiling.narrow_types(
-        scan(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
-        )
-    )
+    return profiling.narrow_types(scan(spark, sf_dir, "lineitem"))
 
 
 def _outlier_input(t):

@@ -346,6 +346,8 @@ LINEITEM_TYPES = [
     ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz"),
 ]
 
+LINEITEM_NUMBERS = [c for c, kind in LINEITEM_TYPES if kind in ("bigint", "int", "double")]
+
 BUILT: dict[str, str] = {}
 
 BUILT.update({
@@ -521,7 +523,9 @@ union all select claimid, null, center_id, plan_id, gross, 'U' from open_claims"
     case when activitycode = '9.01' or activitycode = '61.08' then 'org_sub_seq: not int' end) as reasons from claims) where reasons <> ''"""),
     "q5_valid_records": over("claims", f"""select {ACT}, memberid, gross, netclaim, center_id from claims
 where clinician is not null and org_id <> 4"""),
-    "q7_table_profile": """select cast(sum(n) as bigint) as rows, 3 as columns, cast(sum(n - 1) as bigint) as duplicate_rows from (
+    "q7_table_profile": """select cast(sum(n) as bigint) as rows, 11 as columns, cast(sum(n - 1) as bigint) as duplicate_rows from (
+  select count(*) as n from lineitem group by all_columns)""".replace("all_columns", ", ".join(c for c, _ in LINEITEM_TYPES)),
+    "q7_table_profile_repeats": """select cast(sum(n) as bigint) as rows, 3 as columns, cast(sum(n - 1) as bigint) as duplicate_rows from (
   select count(*) as n from lineitem group by l_orderkey, l_linenumber, l_returnflag)""",
     "q8_column_profile": value_profile("lineitem", LINEITEM_TYPES),
     "q8_column_profile_nulls": over("claims", value_profile("claims", [
@@ -530,7 +534,7 @@ where clinician is not null and org_id <> 4"""),
         f"""select '{c}' as column_name, round(avg({c}), 4) as mean, round(stddev_samp({c}), 4) as std, round(min({c}), 4) as min,
   round(max({c}), 4) as max, round(median({c}), 4) as median, round(skewness({c}), 4) as skewness,
   round(kurtosis({c}), 4) as kurtosis from lineitem"""
-        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+        for c in LINEITEM_NUMBERS
     ),
     "q10_string_profile": " union all ".join(
         f"""select t.column_name, (select round(avg(length({c})), 6) from orders) as avg_length, t.place, t.value, t.n
@@ -538,10 +542,9 @@ from {top_values('orders', c)} t""" for c in ("o_orderpriority", "o_orderstatus"
     ),
     "q11_correlations": " union all ".join(
         f"select '{a}' as column_a, '{b}' as column_b, round(corr({a}, {b}), 6) as correlation from lineitem"
-        for a in ("l_quantity", "l_extendedprice", "l_discount")
-        for b in ("l_quantity", "l_extendedprice", "l_discount")
+        for a in LINEITEM_NUMBERS for b in LINEITEM_NUMBERS
     ),
-    "t1_narrow_types": "select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity from lineitem",
+    "t1_narrow_types": "select * from lineitem",
     "t2_iqr_clip": over("claims", f"""select {ACT}, {clip('gross', 0.5)}, netclaim, {clip('patientshare', 0.5)}
 from claims, ({quartiles('gross', 'patientshare')}) b"""),
     "t3_zscore_replace": over("claims", f"""select {ACT}, {zscore('gross', 1.5)}, {zscore('netclaim', 1.5)}, patientshare

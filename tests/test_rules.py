@@ -245,3 +245,22 @@ def test_checks_pass_without_keys_and_fail_on_repeats(spark):
     assert failed == [("t", "unique_keys")]
     assert quality.failed_checks(quality.check_tables({"t": df}, strict=True)) == [("t", "no_nulls")]
     assert quality.failed_checks(quality.check_tables({"t": df.limit(0)})) == [("t", "has_data")]
+
+
+def test_instants_of_a_repeated_hour_are_two_values(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        two = spark.sql("select timestamp_seconds(1729992600 + 3600 * id) as t from range(2)")
+        assert profiling.column_profile(two).first()["distinct_count"] == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_quantiles_of_a_column_shuffle_no_values(spark):
+    from claimlake.operators.quantiles import exact_quantiles
+
+    df = spark.range(1000).select((F.col("id") / 7).alias("v"))
+    plan = exact_quantiles(df, ["v"], {"m": 0.5})._jdf.queryExecution().optimizedPlan().toString()
+    first = [line for line in plan.splitlines() if "Aggregate [column_name" in line]
+    assert first and all("d1" in line or "name" in line for line in first)
