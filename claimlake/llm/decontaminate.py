@@ -29,7 +29,6 @@ from claimlake.llm.common import stage, text_bytes
 
 #: Bytes of item text in one broadcast block.
 BLOCK_BYTES = 8 << 20
-_BITS = 20
 
 
 class _Items:
@@ -50,19 +49,21 @@ class _Items:
         for p, own in sorted(members.items()):
             begins = np.concatenate([[0], np.cumsum([len(self.sets[i]) for i in own])])
             least = S.minima(np.concatenate([self.sets[i] for i in own]), begins, self.a, self.b)
+            # a table of low bits, some sixty-four times the items, spares most of the searches
+            low = np.uint64((1 << (64 * len(own)).bit_length()) - 1)
             tables = []
             for j in range(hashes):
                 order = np.argsort(least[:, j], kind="stable")
-                some = np.zeros(1 << _BITS, bool)
-                some[least[:, j] & np.uint64((1 << _BITS) - 1)] = True
+                some = np.zeros(int(low) + 1, bool)
+                some[least[:, j] & low] = True
                 tables.append((some, least[order, j], np.array(own)[order]))
-            self.parts[p] = tables
+            self.parts[p] = low, tables
 
     def candidates(self, hashes: np.ndarray, begins: np.ndarray) -> set[tuple[int, int]]:
         """(row, item) pairs that share a minimum in some window."""
         out: set[tuple[int, int]] = set()
         counts = np.diff(begins)
-        for p, tables in self.parts.items():
+        for p, (bits, tables) in self.parts.items():
             per_row = -(-counts // (1 << p))
             row = np.repeat(np.arange(len(counts)), per_row)
             k = np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
@@ -74,7 +75,7 @@ class _Items:
                 np.multiply(hashes, self.a[j], out=work)
                 work += self.b[j]
                 least = np.minimum.reduceat(work, cuts)
-                hit = np.flatnonzero(some[least & np.uint64((1 << _BITS) - 1)])
+                hit = np.flatnonzero(some[least & bits])
                 low = np.searchsorted(values, least[hit], "left")
                 high = np.searchsorted(values, least[hit], "right")
                 for w, x, y in zip(hit[high > low], low[high > low], high[high > low], strict=True):
