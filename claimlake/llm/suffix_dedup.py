@@ -12,20 +12,25 @@ strings have equal anchors, so each anchor with what surrounds it is a collectio
   shards of such stretches are merged by iterative interleave refinement (``bwt``). Its
   repeated intervals are the strings that occur in more than one class. Parts of stretches that
   differ from all others in the bytes that their strings have in common are cut off before.
+* Anchors whose stretches exceed what one merge takes are split before: by ranges of distance to
+  the anchor and the bytes that the strings of a range share, equal parts reduced to the
+  earliest, and what is still too large by half the range, down to single strings.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from claimlake.llm import shingles as S
 from claimlake.llm.bwt import repeated
-from claimlake.llm.common import slices, stage, text_bytes
+from claimlake.llm.common import attach_small, slices, stage, text_bytes
 
 #: Bytes of an anchor, and bytes of the stretches that one merge takes.
 ANCHOR, MERGE_BYTES = 32, 1 << 19
@@ -187,41 +192,107 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["key", "rid", "start", "bytes"])
 
 
-def _promising(texts: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """(text, offset, bytes) of the parts of stretches that may hold a string of another one.
+def _ranges(flat: np.ndarray, offsets: np.ndarray, length: int, wide: int):
+    """(text, first and last position, mark, hash) of the parts of stretches by ranges of ``wide``
+    distances to the anchor.
 
-    The positions of a stretch fall into ranges by their distance to the anchor. All strings of
-    a range share the bytes in their midst, so a range of which no other stretch has those
-    bytes cannot hold a repeated string, and is cut off.
+    All strings of a range share the bytes in their midst; the mark stands for the anchor, the
+    range and these bytes, so equal strings have equal marks. The hash stands for the whole part.
     """
-    flat, offsets = text_bytes(texts)
-    span = length - ANCHOR
-    wide = max(1, span // 4)
-    own, first, upto, mark = [], [], [], []
+    out = []
     for low, high in slices(offsets):
         part, at = flat[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low]
         row, start, count, key, _, anchor = _stretches(part, at, length)
         sums = S.prefix_hash(part)
         _, down = S.powers(len(part))
         begin = at[row] + start
-        for q in range(span // wide + 1):
+        for q in range((length - ANCHOR) // wide + 1):
             # positions with q * wide <= distance < (q + 1) * wide
             a = np.maximum(0, anchor - (q + 1) * wide + 1)
             b = np.minimum(count - 1, anchor - q * wide)
             some = np.flatnonzero(a <= b)
             s = begin[some] + anchor[some] - q * wide
             e = begin[some] + anchor[some] - (q + 1) * wide + 1 + length
-            mark.append(S.mix((sums[e] - sums[s]) * down[s] + S.mix(key[some] + np.uint64(q))))
-            own.append(row[some] + low)
-            first.append(start[some] + a[some])
-            upto.append(start[some] + b[some])
-    own, first, upto, mark = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (own, first, upto, mark))
+            mark = S.mix((sums[e] - sums[s]) * down[s] + S.mix(key[some] + np.uint64(q)))
+            s, e = begin[some] + a[some], begin[some] + b[some] + length
+            body = (sums[e] - sums[s]) * down[s]
+            same = S.mix(body ^ S.mix(((b - a)[some].astype(np.uint64) << np.uint64(32)) | (anchor - a)[some].astype(np.uint64)))
+            out.append((row[some] + low, start[some] + a[some], start[some] + b[some], mark, same))
+    if not out:
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _promising(texts: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(text, offset, bytes) of the parts of stretches that may hold a string of another one.
+
+    A range of which no other stretch has the bytes that its strings share cannot hold a
+    repeated string, and is cut off.
+    """
+    flat, offsets = text_bytes(texts)
+    own, first, upto, mark, _ = _ranges(flat, offsets, length, max(1, (length - ANCHOR) // 4))
     _, which, many = np.unique(mark, return_inverse=True, return_counts=True)
     keep = many[which] > 1 if len(mark) else np.zeros(0, bool)
     row, start, end = _merged(first[keep], upto[keep] + 1, own[keep])
     return row, start, [flat[offsets[r] + s:offsets[r] + e + length - 1].tobytes() for r, s, e in zip(row, start, end, strict=True)]
 
 
+_PIECES = "mark long, same long, rid long, start long, end long, bytes binary"
+
+
+def _pieces(length: int, wide: int):
+    """Parts of stretches by ranges; those that repeat within a batch come without their bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, offsets = text_bytes(batch.column("bytes"))
+            own, first, upto, mark, same = _ranges(flat, offsets, length, wide)
+            rid = batch.column("rid").to_numpy()[own]
+            start = batch.column("start").to_numpy()[own] + first
+            end = start + upto - first + length
+            order = np.lexsort((start, rid, same, mark))
+            own, first, mark, same, rid, start, end = (c[order] for c in (own, first, mark, same, rid, start, end))
+            again = np.append(False, (mark[1:] == mark[:-1]) & (same[1:] == same[:-1])) if len(mark) else np.zeros(0, bool)
+            at = offsets[own] + first
+            texts = [None if g else flat[x:x + n].tobytes() for g, x, n in zip(again, at, end - start, strict=True)]
+            mark = np.where(again, S.mix(rid.astype(np.uint64) ^ start.astype(np.uint64)), mark)  # anywhere
+            same = np.where(again, np.uint64(0), same)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c) for c in (mark.view(np.int64), same.view(np.int64), rid, start, end)),
+                 pa.array(texts, pa.binary())], ["mark", "same", "rid", "start", "end", "bytes"])
+
+    return run
+
+
+def _split(texts: DataFrame, length: int, merge_bytes: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Split the stretches of anchors too large for one merge: (spans, parts to merge).
+
+    Spans (rid, start, end) are parts equal to an earlier one. Of the others, those of one mark
+    can share strings with each other only; marks of at most ``merge_bytes`` go to the merge and
+    larger ones are cut into ranges of half as many distances. A range of one distance is one
+    string, and of equal ones only the earliest is left.
+    """
+    spans, parts = [], []
+    wide = 1 << (max(1, (length - ANCHOR) // 4).bit_length() - 1)
+    earlier = Window.partitionBy("mark", "same").orderBy("rid", "start")
+    while True:
+        pieces = texts.select("rid", "start", "bytes").mapInArrow(_pieces(length, wide), _PIECES)
+        later = F.col("bytes").isNull() | (F.row_number().over(earlier) > 1)
+        pieces = stage(pieces.withColumn("later", later), "pieces")
+        spans.append(pieces.where("later").select("rid", "start", "end"))
+        if wide == 1:
+            return spans, parts
+        first = pieces.where("not later").select("mark", "rid", "start", "bytes")
+        large = stage(first.groupBy("mark").agg(F.sum(F.octet_length("bytes")).alias("large"))
+                      .where(F.col("large") > merge_bytes), "large")
+        first = attach_small(first, large, "mark")
+        parts.append(first.where("large is null").select(F.col("mark").alias("key"), "rid", "start", "bytes"))
+        if large.isEmpty():
+            return spans, parts
+        texts = first.where("large is not null")
+        wide //= 2
+
+
 def _intervals(length: int):
     """Spans of the strings of a bucket of stretches that also start in an earlier one."""
 
@@ -270,16 +341,34 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         .mapInArrow(_classes(length), _PARTS), "stretches")
 
     wanted = parts.where("kind = 1")
-    size = wanted.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
+    large = stage(wanted.groupBy("key").agg(F.sum(F.col("end") - F.col("start")).alias("large"))
+                  .where(F.col("large") > merge_bytes), "large")
+
+    def cut(stretches: DataFrame) -> DataFrame:
+        per_row = stretches.groupBy("rid").agg(F.collect_list(F.struct("key", "start", "end")).alias("wanted"))
+        return rows.select("rid", "_bytes").join(per_row, "rid").mapInArrow(
+            _cut, "key long, rid long, start long, bytes binary")
+
+    spans = [parts.where("kind = 0").select("rid", "start", "end")]
+    if large.isEmpty():
+        size = wanted.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
+        texts = cut(wanted)
+    else:
+        wanted = attach_small(wanted, large, "key")
+        small = wanted.where("large is null")
+        size = small.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
+        texts = cut(small)
+        more, split = _split(cut(wanted.where("large is not null")), length, merge_bytes)
+        spans += more
+        for part in split:
+            size += part.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+            texts = texts.unionByName(part)
     buckets = max(1, -(-size // merge_bytes))
-    per_row = wanted.groupBy("rid").agg(F.collect_list(F.struct("key", "start", "end")).alias("wanted"))
-    cut = rows.select("rid", "_bytes").join(per_row, "rid").mapInArrow(
-        _cut, "key long, rid long, start long, bytes binary")
     bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")
-    across = cut.select(bucket, "rid", "start", "bytes").groupBy("bucket").applyInArrow(
+    across = texts.select(bucket, "rid", "start", "bytes").groupBy("bucket").applyInArrow(
         _intervals(length), "rid long, start long, end long")
 
-    spans = parts.where("kind = 0").select("rid", "start", "end").unionByName(stage(across, "intervals"))
+    spans = reduce(DataFrame.unionByName, [*spans, stage(across, "intervals")])
     spans = spans.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
     @F.arrow_udf("array<struct<start:bigint,end:bigint>>")

@@ -8,6 +8,7 @@ import re
 
 import pytest
 
+from claimlake.llm import suffix_dedup
 from claimlake.llm.bwt import repeated
 from claimlake.llm.components import connected_components
 from claimlake.llm.decontaminate import decontaminate, find_leaks
@@ -145,6 +146,28 @@ def test_removed_bytes_equal_brute_force(spark, corpus, length):
         assert sorted(got, key=key) == sorted(brute_repeats(rows, length), key=key)
 
 
+def test_a_common_passage_is_split_over_merges(spark, monkeypatch):
+    most, intervals = 4096, suffix_dedup._intervals
+
+    def bounded(length):
+        inner = intervals(length)
+
+        def run(table):
+            held = sum(len(x) for x in table.column("bytes").to_pylist())
+            assert held <= 8 * most, held
+            return inner(table)
+
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_intervals", bounded)
+    passage = prose(78, 50)
+    rows = [(i, prose(2000 + i, 8) + passage + prose(4000 + i // 2, 8)) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [(r.doc_id, r.n_bytes, tuple((s.start, s.end) for s in r.removed), bytes(r.kept))
+           for r in remove_repeats(docs, merge_bytes=most).collect()]
+    assert sorted(got) == sorted(brute_repeats(rows, 100))
+
+
 def test_unique_ids_need_no_numbering(spark):
     rows = [(i, prose(i % 7, 40) + prose(50 + i, 10)) for i in range(30)]
     got = [(r.doc_id, r.n_bytes, tuple((s.start, s.end) for s in r.removed), bytes(r.kept))
