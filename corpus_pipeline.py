@@ -24,10 +24,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone"))
-    gone = stage(gone.distinct(), "gone")
-    return docs.join(gone, docs.doc_id.eqNullSafe(F.col("_gone")), "left_anti")
+    """Exactly one document of each group of near duplicates, one with the least id.
+
+    Rows whose id is missing or repeated are judged by themselves: all rows then get a staged
+    number, which decides between rows of one id. A row without an id is kept only if no row of
+    its group has one. Null and blank texts are in no group and all stay.
+    """
+    rows, row = docs, "doc_id"
+    if not docs.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty():
+        row = "_row"
+        while row in docs.columns:
+            row += "_"
+        number = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"),
+                          F.monotonically_increasing_id().alias("at"))
+        rows = stage(docs.withColumn(row, number), "numbered")
+    gone = near_duplicates(rows, id_col=row).where("not kept").select(F.col(row).alias("_gone"))
+    gone = stage(gone, "gone")
+    return rows.join(gone, rows[row] == F.col("_gone"), "left_anti").select(*docs.columns)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import corpus_pipeline
 from claimlake.llm.common import stage
 from claimlake.llm.quality import score_quality
 
-from .test_duplicates import brute_duplicates, shingle_set
+from .test_duplicates import brute_duplicates, components, shingle_set
 from .test_scores_and_mixes import targets, words
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -55,3 +55,24 @@ def test_the_whole_run_survives_no_rows(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF_DIR}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_one_row_of_each_group_stays_whatever_the_ids(spark, corpus):
+    rows = [(r.doc_id, r.text, r.label) for r in corpus.collect()]
+    more = [(None, rows[0][1], 1000), (None, "only without ids " * 20, 1001), (None, "only without ids " * 20, 1002)]
+    extra = spark.createDataFrame(more, "doc_id long, text string, label int")
+    docs = corpus.unionByName(extra, allowMissingColumns=True)
+    rows += more
+    sets = [shingle_set(text) for _, text, _ in rows]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i)
+             if (c := len(sets[i] & sets[j])) and 100 * c >= 75 * len(sets[i] | sets[j])]
+    groups = {}
+    for i, g in enumerate(components(len(rows), pairs)):
+        groups.setdefault(g, []).append(rows[i])
+    out = corpus_pipeline.deduplicate(spark, docs, SF_DIR)
+    assert out.columns == docs.columns
+    got = sorted(r.label for r in out.collect())
+    assert len(got) == len(set(got)) == len(groups)
+    for group in groups.values():
+        kept = [r for r in group if r[2] in got]
+        assert len(kept) == 1 and kept[0][0] == min((r[0] for r in group if r[0] is not None), default=None)
