@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from claimlake.llm.centroids import cluster
 from claimlake.llm.decontaminate import find_leaks
+from claimlake.llm.hash_forest import nearest
 from claimlake.llm.mixing import mix_sources
 from claimlake.llm.near_dedup import near_duplicates
 from claimlake.llm.oracle import ORACLE as ORACLE
 from claimlake.llm.quality import score_quality
+from claimlake.llm.ranked_search import ranked_search
 from claimlake.llm.secrets import find_secrets, span_text
 from claimlake.llm.sharding import record_size, shuffle_shards
 from claimlake.llm.suffix_dedup import remove_repeats
@@ -87,6 +90,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
 
 
+def op11_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -98,5 +113,8 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_top_k": op9_top_k,
     "op10_secrets": op10_secrets,
+    "op11_hash_forest": op11_hash_forest,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_centroids": op13_centroids,
     "pipeline": corpus_pipeline.run,
 }
