@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "days_between", "days_to_finalize", "days_to_payment", "exact_avg",
+    "as_money", "days_between", "days_to_finalize", "days_to_payment", "exact_avg",
     "exact_sum", "is_delayed_payment", "is_denied", "is_full_payment",
     "patient_share_pct", "payment_efficiency", "payment_ratio",
     "processing_days", "ratio", "reimbursement_rate", "share_or_zero",
@@ -84,13 +84,13 @@ def is_delayed_payment(
     return F.coalesce(_col(days) > threshold, F.lit(False))
 
 
-def _money(amount: Column | str) -> Column:
+def as_money(amount: Column | str) -> Column:
     return _col(amount).cast(MONEY)
 
 
 def write_off_amount() -> Column:
     """Claimed less received, to the cent; decimal, so that half cents round up."""
-    gap = _money("netclaim") - _money("received_amount")
+    gap = as_money("netclaim") - as_money("received_amount")
     return F.round(gap, 2).cast("double")
 
 
@@ -106,7 +106,7 @@ def share_or_zero(part: Column | str, whole: Column | str) -> Column:
 
 def exact_sum(amount: Column | str, places: int | None = None) -> Column:
     """Sum in decimal, so that the total does not depend on row order."""
-    total = F.sum(_money(amount))
+    total = F.sum(as_money(amount))
     return (total if places is None else F.round(total, places)).cast("double")
 
 

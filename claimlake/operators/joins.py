@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ByteType, IntegerType, LongType, NumericType, ShortType, StringType,
+    ByteType, DecimalType, DoubleType, FloatType, IntegerType, LongType, NumericType, ShortType, StringType,
 )
 
 BUCKETS = 1 << 14
@@ -50,12 +50,12 @@ def _complete(keys: list[str]) -> Column:
     return reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
 
 
-def _bucket(keys: list[str]) -> Column:
+def key_bucket(keys: list[str]) -> Column:
     hashed = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
     return F.when(_complete(keys), hashed).otherwise(_NO_KEY).cast("int")
 
 
-def _splits(n: int, limit: int) -> int:
+def split_count(n: int, limit: int) -> int:
     return -(-n // limit)
 
 
@@ -72,32 +72,44 @@ def heavy_keys(
     sides = {0: left} if right is None else {0: left, 1: right}
     no_key, merged = 1, {}
     for side, df in sides.items():
-        loads = df.groupBy(_bucket(keys).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+        loads = df.groupBy(key_bucket(keys).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
         found = loads.filter(F.col("n") > heavy_rows).collect()
         if side == 0:
-            no_key = max([_splits(r["n"], heavy_rows) for r in found if r["bucket"] == _NO_KEY], default=1)
+            no_key = max([split_count(r["n"], heavy_rows) for r in found if r["bucket"] == _NO_KEY], default=1)
         inside = [r["bucket"] for r in found if r["bucket"] != _NO_KEY]
         if not inside:
             continue
-        counted = df.filter(_bucket(keys).isin(inside)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        counted = df.filter(key_bucket(keys).isin(inside)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         for row in counted.filter(F.col("_n") > heavy_rows).collect():
             *key, n = row
-            merged.setdefault(tuple(key), [1, 1])[side] = _splits(n, heavy_rows)
+            merged.setdefault(tuple(key), [1, 1])[side] = split_count(n, heavy_rows)
     return HeavyKeys([(*k, l, r) for k, (l, r) in merged.items()], no_key)
 
 
+_WHOLE_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
+
+
 def key_kind(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> str:
-    """The type that two keys are compared in: their own if it is one, bigint for whole numbers,
-    double for other numbers, and text for all else."""
+    """The type that two keys are compared in, which holds the values of both exactly.
+
+    Their own if it is one, bigint for whole numbers, a decimal with the digits of both where one
+    is a decimal and the other no float, double with a float on one side, and text for all else:
+    '01' does not match 1. Where a decimal cannot hold the digits of both (over 38), values that
+    do not fit match nothing.
+    """
     a, b = left.schema[left_key].dataType, right.schema[right_key].dataType
     if a == b:
         return a.simpleString()
-    whole = (ByteType, ShortType, IntegerType, LongType)
+    whole, floats = tuple(_WHOLE_DIGITS), (FloatType, DoubleType)
     if isinstance(a, whole) and isinstance(b, whole):
         return "bigint"
-    if isinstance(a, NumericType) and isinstance(b, NumericType):
+    if not (isinstance(a, NumericType) and isinstance(b, NumericType)):
+        return "string"
+    if isinstance(a, floats) or isinstance(b, floats):
         return "double"
-    return "string"
+    digits, scales = zip(*((t.precision - t.scale, t.scale) if isinstance(t, DecimalType) else (_WHOLE_DIGITS[type(t)], 0)
+                           for t in (a, b)), strict=True)
+    return f"decimal({min(38, max(digits) + max(scales))},{max(scales)})"
 
 
 def _alike(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame | None:
@@ -106,7 +118,7 @@ def _alike(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame | No
         kind = key_kind(left, right, k, k)
         if kind != left.schema[k].dataType.simpleString():
             return None
-        right = right.withColumn(k, F.col(k).cast(kind))
+        right = right.withColumn(k, F.col(k).try_cast(kind))
     return right
 
 
@@ -118,10 +130,16 @@ def plain_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, nul
         return left.join(same, keys, how)
     kinds = {k: key_kind(left, right, k, k) for k in keys}
     names = {k: f"_key_{i}" for i, k in enumerate(keys)}
-    other = right.withColumns({names[k]: F.col(k).cast(kinds[k]) for k in keys}).drop(*keys)
-    equal = "eqNullSafe" if null_safe else "__eq__"
-    on = reduce(lambda x, y: x & y, [getattr(left[k].cast(kinds[k]), equal)(other[names[k]]) for k in keys])
-    return left.join(other, on, how).drop(*names.values())
+    other = right.withColumns({names[k]: F.col(k).try_cast(kinds[k]) for k in keys}).drop(*keys)
+    on = [left[k].try_cast(kinds[k]) == other[names[k]] for k in keys]
+    if null_safe:  # a key that its decimal type cannot hold is not a missing one
+        tight = [k for k in keys if kinds[k].startswith("decimal")]
+        gaps = {f"_gap_{names[k]}": right[k].isNull() for k in tight}
+        other = right.withColumns({names[k]: F.col(k).try_cast(kinds[k]) for k in keys} | gaps).drop(*keys)
+        on = [left[k].try_cast(kinds[k]).eqNullSafe(other[names[k]]) for k in keys]
+        on += [left[k].isNull() == other[f"_gap_{names[k]}"] for k in tight]
+        return left.join(other, reduce(lambda x, y: x & y, on), how).drop(*names.values(), *gaps)
+    return left.join(other, reduce(lambda x, y: x & y, on), how).drop(*names.values())
 
 
 def _salted(
@@ -160,7 +178,9 @@ def salted_join(
     Without ``heavy`` keys it is a plain join. Rows of a heavy left key are dealt over its
     splits and the matching right rows copied to each; for a heavy right key the other way
     round. ``right_unique`` says that a key occurs once on the right, which leaves left rows
-    uncopied. Filter the inputs beforehand: filters do not move below a salt.
+    uncopied. Filter the inputs beforehand: filters do not move below a salt. The keys may have
+    been counted before the filters: for a left join, those that the right side still holds are
+    looked up in it, so that no left row is lost.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_anti"):
@@ -179,6 +199,10 @@ def salted_join(
     splits = left.sparkSession.createDataFrame(
         heavy.rows, f"{key_types}, {_LEFT} int, {_RIGHT} int"
     )
+    if how == "left" and not right_unique:
+        present = right.join(F.broadcast(splits.select(*keys)), keys, "left_semi").select(*keys).distinct()
+        splits = splits.join(F.broadcast(present.withColumn(_HIT, F.lit(True))), keys, "left").withColumn(
+            _RIGHT, F.when(F.col(_HIT), F.col(_RIGHT)).otherwise(1)).drop(_HIT)
     no_key = 1 if how == "inner" else heavy.no_key_splits
     l = _salted(left, keys, splits, _LEFT, _RIGHT, _A, _B,
                 copy=not right_unique, no_key_splits=no_key)
@@ -189,7 +213,7 @@ def salted_join(
         joined = l.drop(_RIGHT).join(r, on_salt, how)
     else:
         # A copied left row misses the splits that got no right row. A key that is
-        # heavy on the right does occur there, so the row matched in another split
+        # copied for does occur on the right, so the row matched in another split
         # and the miss goes.
         copied = F.coalesce(F.col(_RIGHT), F.lit(1)) > 1
         joined = l.join(r.withColumn(_HIT, F.lit(True)), on_salt, "left").filter(

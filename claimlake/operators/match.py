@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from claimlake.functions import clean_activity_id
 from claimlake.operators.facts import ACTIVITY, latest_denial, received_dates
+from claimlake.operators.heavy import right_splits
 from claimlake.operators.joins import (
-    HeavyKeys, attach, attach_role, check_dimensions, salted_join, table_bytes,
+    HEAVY_ROWS, HeavyKeys, attach, attach_role, check_dimensions, salted_join, table_bytes,
 )
 from claimlake.operators.masters import (
     Tables, denial_codes, doctors_with_departments, encounter_types,
@@ -106,6 +107,17 @@ def claim_dimensions(tables: Tables) -> Dimensions:
     return checked_dimensions(tables, CLAIM_ROLES, licensed=True)
 
 
+def written_dimensions(read: Callable[[str], DataFrame]) -> Dimensions:
+    """The dimensions of claims from the master sets that a run has written."""
+    doctors = read("doctors")
+    same = [c for c in doctors.columns if c != "doctor_license_number"]
+    one_licence = doctors.groupBy(*same).agg(F.min("doctor_license_number").alias("doctor_license_number"))
+    frames = {"hospital": read("hospitals"), "insurer": read("insurance"), "plan": read("plans"),
+              "doctor": one_licence, "encounter": read("encounter_types")}
+    keys = {name: key for name, key, _, _ in CLAIM_ROLES}
+    return Dimensions(frames, check_dimensions(frames, keys))
+
+
 def enrich_claims(
     claims: DataFrame, tables: Tables, dims: Dimensions | None = None
 ) -> DataFrame:
@@ -131,6 +143,19 @@ def with_doctor_roles(
     return enrich(claims, tables, [treating_role(treating), ordering_role(ordering)])
 
 
+# Columns of payments that name the activity, and the columns of claims that they are matched to.
+MATCHED_ON = {"claim_id": "claimid", "activity_id": "cleaned_activityid"}
+
+
+def payment_splits(tables: Tables) -> HeavyKeys | None:
+    """Activities of the remittance that one task should not take, by the counts that a stored
+    source keeps of them; None where a source keeps none."""
+    counts = getattr(tables, "payment_counts", None)
+    if counts is None:
+        return None
+    return right_splits(counts(), MATCHED_ON, getattr(tables, "heavy_rows", HEAVY_ROWS))
+
+
 def match_claims(
     claims: DataFrame, remittance: DataFrame, how: str = "left", heavy: HeavyKeys | None = None,
 ) -> DataFrame:
@@ -138,15 +163,15 @@ def match_claims(
 
     The cleaned id is derived wherever the activity id is there, also if the claims declare a
     column for it. Remittance columns that a claim has too are prefixed ``ra_``. ``heavy``
-    names activities with more payments than one task should get.
+    names activities with more payments than one task should get (``payment_splits``); they may
+    have been counted before the remittance was filtered.
     """
     if "activityid" in claims.columns:
         claims = claims.withColumn("cleaned_activityid", clean_activity_id("activityid"))
-    keys = {"claim_id": "claimid", "activity_id": "cleaned_activityid"}
     taken = set(claims.columns)
     paid = remittance.select(
         *[
-            F.col(c).alias(keys.get(c, f"ra_{c}" if c in taken else c))
+            F.col(c).alias(MATCHED_ON.get(c, f"ra_{c}" if c in taken else c))
             for c in remittance.columns
         ]
     )

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.functions import (
-    days_to_finalize, days_to_payment, exact_sum, is_delayed_payment, is_denied,
+    as_money, clean_activity_id, days_to_finalize, days_to_payment, exact_sum, is_delayed_payment, is_denied,
     is_full_payment, patient_share_pct, payment_efficiency, payment_ratio,
     payment_status, processing_days, reimbursement_rate, share_or_zero,
     write_off_amount,
 )
-from claimlake.operators.joins import salted_join
+from claimlake.operators.joins import HeavyKeys, salted_join
+from claimlake.operators.match import match_claims
 
 
 def claim_metrics(claims: DataFrame) -> DataFrame:
@@ -88,6 +89,33 @@ def with_claim_totals(
     return with_group_values(rows, key, values)
 
 
+def match_with_totals(
+    claims: DataFrame, remittance: DataFrame, heavy: HeavyKeys | None = None,
+) -> DataFrame:
+    """Matched rows with the claimed and the approved total of their claim on each.
+
+    Same result as ``with_claim_totals`` over the match, in which a claim counts once for each of
+    its payments, but payments are reduced to one row an activity and those to one a claim; the
+    wide rows are matched once.
+    """
+    if "activityid" in claims.columns:
+        claims = claims.withColumn("cleaned_activityid", clean_activity_id("activityid"))
+    paid = remittance.groupBy(F.col("claim_id").alias("claimid"), F.col("activity_id").alias("cleaned_activityid")).agg(
+        F.count(F.lit(1)).alias("payments"), F.sum(as_money("received_amount")).alias("paid"))
+    slim = claims.select("claimid", "cleaned_activityid", "netclaim")
+    each = salted_join(slim, paid, ["claimid", "cleaned_activityid"], "left", right_unique=True)
+    times = F.coalesce(F.col("payments"), F.lit(1))
+    each = each.withColumn("claimed", as_money("netclaim") * times)
+    key = F.coalesce(F.concat(F.lit("="), F.col("claimid")), F.lit(""))
+    totals = each.groupBy(key.alias("_key")).agg(
+        F.sum("claimed").cast("double").alias("total_claim_amount"),
+        F.sum("paid").cast("double").alias("total_approved_amount"))
+    matched = match_claims(claims, remittance, "left", heavy)
+    named = matched.withColumn("_key", key)
+    return salted_join(named, totals, "_key", "left", right_unique=True).select(
+        *matched.columns, "total_claim_amount", "total_approved_amount")
+
+
 def with_total_paid(
     rows: DataFrame, key: str = "claim_id", paid: str = "received_amount",
 ) -> DataFrame:

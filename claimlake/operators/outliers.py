@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.operators.quantiles import exact_quantiles
+from claimlake.operators.quantiles import as_numbers, exact_quantiles
 
 # Default multiple of the interquartile range.
 DEFAULT_THRESHOLD = 1.5
@@ -45,7 +45,8 @@ def clip_outliers(
     df: DataFrame, columns: Iterable[str], k: float = DEFAULT_THRESHOLD,
     approximate: bool = False,
 ) -> DataFrame:
-    """Values outside the widened quartiles set to the bound they cross."""
+    """Values outside the widened quartiles set to the bound they cross. The quartiles are
+    computed when the function is called."""
     columns = list(columns)
     bounds = _one_row_map(quartile_bounds(df, columns, k, approximate), "low", "high")
 
@@ -65,11 +66,12 @@ def replace_outliers(
 ) -> DataFrame:
     """Values more than ``threshold`` deviations from the mean set to the mean."""
     columns = list(columns)
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    moments = numbers.unpivot([], columns, "column_name", "v").filter(
-        ~F.isnan("v")
-    ).groupBy("column_name").agg(F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"))
-    stats = _one_row_map(moments, "mean", "std")
+    numbers = as_numbers(df, columns)
+    names = [f"`{c}`" for c in columns]
+    moments = numbers.agg(F.map_from_entries(F.array(*[
+        F.struct(F.lit(c), F.struct(F.avg(n).alias("mean"), F.stddev_samp(n).alias("std")))
+        for c, n in zip(columns, names, strict=True)])).alias("stats"))
+    stats = moments.scalar()
 
     def replaced(c: str) -> Column:
         value, s = F.col(c).cast("double"), stats[c]

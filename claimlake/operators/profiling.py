@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlake.operators.quantiles import exact_quantiles
+from claimlake.operators.quantiles import as_numbers, bracket_ranks, exact_quantiles, ranked_values
 
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FLOATS = (T.FloatType, T.DoubleType)
@@ -88,11 +88,43 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole) * 100
 
 
+# Texts up to this many bytes are counted as they are, longer ones by a 128-bit digest.
+PLAIN_BYTES = 15
+
+
+def _cell(df: DataFrame, i: int, column: str) -> Column:
+    """A value as (column number, whole number, double, bytes), one of the last three set.
+
+    Equal values, and only those, have equal cells: numbers, dates and times in eight bytes, other
+    values as text, of which a long one is digested (a digest is longer than any plain text). NaN
+    counts as missing, and 0.0 and -0.0 are one.
+    """
+    value, kind = F.col(f"`{column}`"), df.schema[column].dataType
+    whole, real, other = (F.lit(None).cast(t) for t in ("bigint", "double", "binary"))
+    if isinstance(kind, (*INTEGERS, T.BooleanType)):
+        whole = value.cast("bigint")
+    elif isinstance(kind, T.DateType):
+        whole = F.unix_date(value).cast("bigint")
+    elif isinstance(kind, T.TimestampType):
+        whole = F.unix_micros(value)
+    elif isinstance(kind, T.TimestampNTZType):
+        whole = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), value)
+    elif isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        whole = (value * F.lit(10 ** kind.scale)).cast("bigint")
+    elif isinstance(kind, FLOATS):
+        real = F.when(~F.isnan(value), value.cast("double") + F.lit(0.0))
+    else:
+        text = value.cast("string").cast("binary")
+        other = F.when(F.octet_length(text) <= PLAIN_BYTES, text).otherwise(F.unhex(F.md5(text)))
+    return F.struct(F.lit(i).alias("i"), whole.alias("whole"), real.alias("real"), other.alias("other"))
+
+
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Type, NULL count and share, distinct count and share of every column.
 
     The exact distinct counts come from one shuffle of the values, each sent on once
-    per task. ``approximate`` counts them in fixed space instead.
+    per task: numbers as such, long texts as digests. ``approximate`` counts them in fixed
+    space instead.
     """
     kinds = F.create_map(
         *[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())]
@@ -104,13 +136,15 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
             F.approx_count_distinct("value").alias("distinct_count"),
         )
     else:
-        counts = value_counts(df, df.columns, instants=True).groupBy("column_name").agg(
+        cells = df.select(F.explode(F.array(*[_cell(df, i, c) for i, c in enumerate(df.columns)])).alias("c"))
+        values = cells.groupBy("c.i", "c.whole", "c.real", "c.other").agg(F.count(F.lit(1)).alias("n"))
+        missing = F.col("whole").isNull() & F.col("real").isNull() & F.col("other").isNull()
+        names = F.array(*[F.lit(c) for c in df.columns])
+        counts = values.groupBy("i").agg(
             F.sum("n").alias("rows"),
-            F.coalesce(
-                F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)
-            ).alias("null_count"),
-            F.count("value").alias("distinct_count"),
-        )
+            F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("null_count"),
+            F.count_if(~missing).alias("distinct_count"),
+        ).withColumn("column_name", F.element_at(names, F.col("i") + 1))
     return counts.select(
         "column_name",
         kinds[F.col("column_name")].alias("type"),
@@ -131,26 +165,29 @@ def _corrected(n: Column, skew: Column, kurt: Column) -> tuple[Column, Column]:
     return g1, g2
 
 
+_MOMENTS = {
+    "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "g1": F.skewness, "g2": F.kurtosis,
+}
+
+
 def numeric_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """Mean, deviation, range, median, skewness and kurtosis per numeric column."""
+    """Mean, deviation, range, median, skewness and kurtosis per numeric column.
+
+    The moments and the brackets of the medians come from one pass over ``df``, the medians from
+    a second; both run when the function is called.
+    """
     columns = numeric_columns(df) if columns is None else list(columns)
-    numbers = df.select(
-        *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c)
-          for c in columns]
-    )
-    moments = numbers.unpivot([], columns, "column_name", "v").groupBy("column_name").agg(
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-        F.count("v").alias("n"),
-        F.skewness("v").alias("g1"),
-        F.kurtosis("v").alias("g2"),
-    )
+    wanted, numbers = {"median": 0.5}, as_numbers(df, columns)
+    found = bracket_ranks(numbers, columns, wanted, {name: f for name, f in _MOMENTS.items()})
+    medians = ranked_values(numbers, columns, wanted, found)
+    if medians is None:
+        medians = {r["column_name"]: {"median": r["median"]} for r in exact_quantiles(df, columns, wanted).collect()}
+    rows = [(c, found[f"n{i}"], *(found[f"{m}{i}"] for m in _MOMENTS), medians.get(c, {}).get("median"))
+            for i, c in enumerate(columns)]
+    fields = ", ".join(f"{m} double" for m in _MOMENTS)
+    moments = df.sparkSession.createDataFrame(rows, f"column_name string, n bigint, {fields}, median double")
     skewness, kurtosis = _corrected(F.col("n"), F.col("g1"), F.col("g2"))
-    medians = exact_quantiles(numbers, columns, {"median": 0.5})
-    # One row per column on both sides.
-    return moments.join(F.broadcast(medians), "column_name", "left").select(
+    return moments.select(
         "column_name", "mean", "std", "min", "max", "median",
         skewness.alias("skewness"), kurtosis.alias("kurtosis"),
     )
@@ -228,36 +265,12 @@ def narrowing_advice(df: DataFrame) -> DataFrame:
     """
     ints, floats = columns_of(df, *INTEGERS), columns_of(df, T.DoubleType)
     parts = []
-    if ints:
-        width = F.create_map(*[F.lit(x) for c in ints for x in (c, _width(df, c))])
-        long = df.select(*[F.col(c).cast("bigint").alias(c) for c in ints]).unpivot(
-            [], ints, "column_name", "v"
-        )
-        ranges = long.groupBy("column_name").agg(
-            F.min("v").alias("low"), F.max("v").alias("high")
-        )
-        kind, bytes_ = F.lit("bigint"), F.lit(8)
-        for name, low, high, size in reversed(INTEGER_LADDER):
-            fits = (F.col("low") >= F.lit(low)) & (F.col("high") <= F.lit(high))
-            kind = F.when(fits, F.lit(name)).otherwise(kind)
-            bytes_ = F.when(fits, F.lit(size)).otherwise(bytes_)
-        saved = (1 - bytes_ / width[F.col("column_name")]) * 100
-        parts.append(
-            ranges.filter("low IS NOT NULL").select(
-                "column_name", F.col("low").cast("double").alias("low"),
-                F.col("high").cast("double").alias("high"),
-                kind.alias("suggested_type"),
-                F.greatest(saved, F.lit(0.0)).alias("saved_percentage"),
-            )
-        )
-    if floats:
-        long = df.select(*floats).unpivot([], floats, "column_name", "v")
-        parts.append(
-            long.groupBy("column_name")
-            .agg(F.min("v").alias("low"), F.max("v").alias("high"))
-            .select("column_name", "low", "high", F.lit("float").alias("suggested_type"),
-                    F.lit(50.0).alias("saved_percentage"))
-        )
+    if ints or floats:
+        ends = [F.struct(F.lit(c).alias("column_name"), F.min(f"`{c}`").cast("double").alias("low"),
+                         F.max(f"`{c}`").cast("double").alias("high"), _advice(df, c).alias("advice"))
+                for c in ints + floats]
+        ranges = df.agg(F.array(*ends).alias("ends")).select(F.inline("ends"))
+        parts.append(ranges.filter("low IS NOT NULL").select("column_name", "low", "high", "advice.*"))
     strings = string_columns(df)
     if strings:
         repeats = column_profile(df.select(*strings)).filter(
@@ -276,6 +289,19 @@ def narrowing_advice(df: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _advice(df: DataFrame, column: str) -> Column:
+    """Suggested type and share saved: the smallest type that holds the range, or a float."""
+    if column not in columns_of(df, *INTEGERS):
+        return F.struct(F.lit("float").alias("suggested_type"), F.lit(50.0).alias("saved_percentage"))
+    kind, bytes_ = F.lit("bigint"), F.lit(8)
+    for name, low, high, size in reversed(INTEGER_LADDER):
+        fits = (F.min(f"`{column}`") >= F.lit(low)) & (F.max(f"`{column}`") <= F.lit(high))
+        kind = F.when(fits, F.lit(name)).otherwise(kind)
+        bytes_ = F.when(fits, F.lit(size)).otherwise(bytes_)
+    saved = (1 - bytes_ / F.lit(_width(df, column))) * 100
+    return F.struct(kind.alias("suggested_type"), F.greatest(saved, F.lit(0.0)).cast("double").alias("saved_percentage"))
+
+
 def _width(df: DataFrame, column: str) -> int:
     return {"tinyint": 1, "smallint": 2, "int": 4, "bigint": 8}[
         df.schema[column].dataType.simpleString()
@@ -316,3 +342,25 @@ def full_profile(df: DataFrame) -> dict[str, DataFrame]:
     if string_columns(df):
         out["strings"] = string_profile(df)
     return out
+
+
+def profile_rows(profile: Mapping[str, DataFrame]) -> DataFrame:
+    """All results of a profile as one table: (section, subject, measure, number, text).
+
+    The subject is the column, the two columns or the column and place that a row is about.
+    """
+    about, parts = ("column_name", "column_a", "column_b", "place"), []
+    for section, result in profile.items():
+        keys = [F.col(c).cast("string") for c in about if c in result.columns]
+        cells = []
+        for f in result.schema:
+            if f.name in about:
+                continue
+            text = isinstance(f.dataType, T.StringType)
+            cells.append(F.struct(
+                F.lit(f.name).alias("measure"),
+                (F.lit(None) if text else F.col(f.name)).cast("double").alias("number"),
+                (F.col(f.name) if text else F.lit(None)).cast("string").alias("text")))
+        parts.append(result.select(
+            F.lit(section).alias("section"), F.concat_ws("|", *keys).alias("subject"), F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionByName, parts)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,6 +109,70 @@ def check_table(
     return out
 
 
+def observe_checks(
+    df: DataFrame, required: Iterable[str] = (), strict: bool = False,
+) -> tuple[DataFrame, Callable[[], dict[str, bool]]]:
+    """``df`` watched while it is written, and what its first three checks say after that.
+
+    As ``check_table`` without keys, but the rows and holes are counted by the write itself.
+    """
+    required = list(required)
+    present = [c for c in required if c in df.columns]
+    looked_at = df.columns if strict else present
+    holes = reduce(lambda x, y: x | y, [F.col(c).isNull() for c in looked_at], F.lit(False))
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(holes).alias("with_nulls"))
+
+    def results() -> dict[str, bool]:
+        counts = seen.get
+        return {"has_data": counts["rows"] > 0, "no_nulls": counts["with_nulls"] == 0,
+                "expected_columns": len(present) == len(required)}
+
+    return watched, results
+
+
+def keys_repeat(df: DataFrame, keys: Iterable[str]) -> bool:
+    """Whether some key occurs twice; missing keys are no group and repeat nothing."""
+    keys = list(keys)
+    if not keys:
+        return False
+    groups = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return not groups.filter("n > 1").isEmpty()
+
+
+def check_written(df: DataFrame, table: str, required: Iterable[str]) -> DataFrame:
+    """A written table holds rows and every required column: (table_name, check_name, passed)."""
+    rows = df.agg((F.count(F.lit(1)) > 0).alias("filled"))
+    cells = [F.struct(F.lit("has_data").alias("check_name"), F.col("filled").alias("passed"))]
+    cells += [F.struct(F.lit(f"column {c}").alias("check_name"), F.lit(c in df.columns).alias("passed")) for c in required]
+    return rows.select(F.lit(table).alias("table_name"), F.inline(F.array(*cells)))
+
+
+def type_report(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
+    """(column_name, expected, found, matches, unread): the type of each expected column, and how
+    many of its values do not convert to the expected type (absent columns: NULL)."""
+    wrong = check_types(df, expected)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[
+        F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()).alias(f"_unread_{i}")
+        for i, (c, kind) in enumerate(expected.items()) if c in kinds])
+    cells = [
+        F.struct(
+            F.lit(c).alias("column_name"), F.lit(kind).alias("expected"),
+            F.lit(kinds.get(c)).cast("string").alias("found"), F.lit(c not in wrong).alias("matches"),
+            (F.col(f"_unread_{i}") if c in kinds else F.lit(None).cast("bigint")).alias("unread"))
+        for i, (c, kind) in enumerate(expected.items())
+    ]
+    return counts.select(F.inline(F.array(*cells)))
+
+
+def load_gate(checks: DataFrame) -> DataFrame:
+    """(tables, failed, load): a load goes ahead only if every check of every table passes."""
+    return checks.agg(
+        F.count_distinct("table_name").alias("tables"), F.count_if(~F.col("passed")).alias("failed"),
+        F.coalesce(F.every("passed"), F.lit(False)).alias("load"))
+
+
 def check_tables(
     tables: Mapping[str, DataFrame], required: Mapping[str, list[str]] | None = None,
     keys: Mapping[str, list[str]] | None = None, strict: bool = False,
@@ -160,17 +224,28 @@ def violations(df: DataFrame, schema: T.StructType) -> Column:
 
 
 def validate_records(
-    df: DataFrame, schema: T.StructType, mode: str = "quarantine"
+    df: DataFrame, schema: T.StructType, mode: str = "quarantine", folder: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Split rows into those that fit a record model, typed by it, and the rest.
 
     The rest carry their ``reasons``. Columns outside the model are kept. With
-    ``mode="fail"`` any misfit is an error, which counts them first.
+    ``mode="fail"`` any misfit is an error, which counts them first. With a ``folder`` the judged
+    rows are written there once, partitioned by the verdict, and either result reads its own
+    partition; without one, each result evaluates ``df`` when it is read.
     """
     if mode not in ("quarantine", "fail"):
         raise ValueError(f"unknown mode {mode!r}")
     judged = df.withColumn("reasons", violations(df, schema))
-    bad = judged.filter(F.size("reasons") > 0)
+    if folder is None:
+        bad, good = judged.filter(F.size("reasons") > 0), judged.filter(F.size("reasons") == 0)
+    else:
+        verdict = "_fits"
+        while verdict in df.columns:
+            verdict += "_"
+        judged = judged.withColumn(verdict, F.size("reasons") == 0)
+        judged.write.partitionBy(verdict).parquet(folder)
+        stored = df.sparkSession.read.schema(judged.schema).parquet(folder)
+        bad, good = (stored.filter(F.col(verdict) == v).drop(verdict) for v in (False, True))
     if mode == "fail":
         n = bad.count()
         if n:
@@ -180,7 +255,7 @@ def validate_records(
         for f in schema
         if f.name in df.columns and df.schema[f.name].dataType != f.dataType
     }
-    good = judged.filter(F.size("reasons") == 0).drop("reasons")
+    good = good.drop("reasons")
     return (good.withColumns(typed) if typed else good), bad
 
 

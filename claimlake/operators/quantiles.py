@@ -1,20 +1,23 @@
 """Exact quantiles without holding all values of a column or group in one task.
 
-The built-in exact percentile keeps a map of every distinct value in one buffer. Here the
-wanted ranks are located in three steps: by the leading digits of the value, by the
-following digits among the values that share them, and by value among the few that are
-left. A step hands at most two rows per quantile to the next, which are broadcast.
-
-Over a whole column each step scans the input, and only counts per digit, combined on the
-map side, are shuffled; store an input that is costly to derive. Per group the values are
-counted once, and all steps read that one shuffle.
+The built-in exact percentile keeps a map of every distinct value in one buffer. Here
+
+* over whole columns, a mergeable sketch brackets every wanted rank from both sides in a first
+  pass, and a second pass counts the values below and, one by one, inside the bracket. The error
+  of the sketch is bounded, so the ranks lie inside; that is checked by the exact counts, and a
+  column whose bracket missed takes the way of the groups.
+* per group, the wanted ranks are located in three steps: by the leading digits of the value, by
+  the following digits among the values that share them, and by value among the few that are
+  left. A step hands at most two rows per quantile to the next, which are broadcast. Values are
+  counted once per group, and all steps read that one shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import math
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from claimlake.operators.joins import salted_join
@@ -22,6 +25,8 @@ from claimlake.operators.joins import salted_join
 # Binary digits after the leading one that the first and second pass look at.
 FIRST_BITS, SECOND_BITS = 16, 18
 _LARGEST = 1.7976931348623157e308
+# The sketch errs by at most one rank in so many; a bracket reaches twice as far on either side.
+ACCURACY = 10_000
 
 
 def _digits(v: Column) -> tuple[Column, Column]:
@@ -86,6 +91,73 @@ def _locate(rows: DataFrame, group: list[str], digit: str, first: Column | None)
     )
 
 
+def as_numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """The columns as doubles, NaN as NULL."""
+    nothing = F.lit(None).cast("double")
+    return df.select(*[F.nanvl(F.col(c).cast("double"), nothing).alias(c) for c in columns])
+
+
+def bracket_ranks(
+    numbers: DataFrame, columns: list[str], probabilities: Mapping[str, float],
+    measures: Mapping[str, Callable[[str], Column]] | None = None,
+) -> Row:
+    """First pass, run when called: one row with the count of each column (``n<i>``), the ends of
+    its brackets (``ends<i>``, two for each probability), and ``measures`` (``<name><i>``)."""
+    reach = 2 / ACCURACY
+    places = [q for p in probabilities.values() for q in (max(0.0, p - reach), min(1.0, p + reach))]
+    found = []
+    for i, c in enumerate(columns):
+        found.append(F.count(F.col(f"`{c}`")).alias(f"n{i}"))
+        found.append(F.percentile_approx(F.col(f"`{c}`"), places, ACCURACY).alias(f"ends{i}"))
+        for name, measure in (measures or {}).items():
+            found.append(measure(f"`{c}`").alias(f"{name}{i}"))
+    return numbers.agg(*found).first()
+
+
+def _inside(numbers: DataFrame, columns: list[str], brackets: list[tuple[int, float, float]]) -> DataFrame:
+    """(bracket, v, n): how often each value inside a bracket occurs, and how many lie below (v
+    NULL). Values are combined before the shuffle; those above are not sent at all."""
+    cells = []
+    for b, (i, low, high) in enumerate(brackets):
+        value = F.col(f"`{columns[i]}`")
+        held = F.when(value >= low, value)
+        cells.append(F.when(value <= high, F.struct(F.lit(b).alias("bracket"), held.alias("v"))))
+    each = numbers.select(F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("c"))
+    return each.groupBy("c.bracket", "c.v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def ranked_values(
+    numbers: DataFrame, columns: list[str], probabilities: Mapping[str, float], ranks: Row,
+) -> dict[str, dict[str, float]] | None:
+    """Second pass, run when called: the quantiles of each column that has values, or None if a
+    bracket missed its ranks. At most two rows a column and quantile reach the driver."""
+    brackets, wanted = [], []
+    for i in range(len(columns)):
+        n = ranks[f"n{i}"]
+        for k, p in enumerate(probabilities.values() if n else ()):
+            place = (n - 1) * float(p)
+            brackets.append((i, *ranks[f"ends{i}"][2 * k:2 * k + 2]))
+            wanted.append((place - math.floor(place), math.floor(place), math.ceil(place)))
+    if not brackets:
+        return {}
+    order = Window.partitionBy("bracket").orderBy(F.col("v").asc_nulls_first())
+    spec = F.array(*[F.array(F.lit(low).cast("bigint"), F.lit(high).cast("bigint")) for _, low, high in wanted])
+    upto = _inside(numbers, columns, brackets).withColumn("upto", F.sum("n").over(order)).withColumn(
+        "ends", F.element_at(spec, F.col("bracket") + 1))
+    hit = [(F.col("ends")[e] < F.col("upto")) & (F.col("ends")[e] >= F.col("upto") - F.col("n")) for e in (0, 1)]
+    found = upto.filter(F.col("v").isNotNull() & (hit[0] | hit[1])).select(
+        "bracket", "v", hit[0].alias("lo"), hit[1].alias("hi")).collect()
+    lows, highs = ({r["bracket"]: r["v"] for r in found if r[end]} for end in ("lo", "hi"))
+    if len(lows) < len(brackets) or len(highs) < len(brackets):
+        return None
+    out: dict[str, dict[str, float]] = {}
+    for b, ((i, _, _), (weight, _, _)) in enumerate(zip(brackets, wanted, strict=True)):
+        name = list(probabilities)[b % len(probabilities)]
+        lo, hi = lows[b], highs[b]
+        out.setdefault(columns[i], {})[name] = lo if lo == hi else lo + (hi - lo) * weight
+    return out
+
+
 def exact_quantiles(
     df: DataFrame, columns: Iterable[str], probabilities: Mapping[str, float],
     keys: Iterable[str] = (),
@@ -93,9 +165,25 @@ def exact_quantiles(
     """Interpolated quantiles of numeric columns, per group of ``keys`` if given.
 
     One row per group and column that has values: the keys, ``column_name`` and one
-    column per entry of ``probabilities``. NULL and NaN are not values.
+    column per entry of ``probabilities``. NULL and NaN are not values. Without keys the two
+    passes over ``df`` run when the function is called.
     """
     keys, columns = list(keys), list(columns)
+    if keys:
+        return _located_quantiles(df, columns, probabilities, keys)
+    numbers = as_numbers(df, columns)
+    found = ranked_values(numbers, columns, probabilities, bracket_ranks(numbers, columns, probabilities))
+    if found is None:
+        return _located_quantiles(df, columns, probabilities, [])
+    fields = ", ".join(f"`{n}` double" for n in probabilities)
+    rows = [(c, *(values[n] for n in probabilities)) for c, values in found.items()]
+    return df.sparkSession.createDataFrame(rows, f"column_name string, {fields}")
+
+
+def _located_quantiles(
+    df: DataFrame, columns: list[str], probabilities: Mapping[str, float], keys: list[str],
+) -> DataFrame:
+    """Quantiles located by digits."""
     numbers = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
     long = numbers.unpivot(keys, columns, "column_name", "v").filter(
         F.col("v").isNotNull() & ~F.isnan("v")

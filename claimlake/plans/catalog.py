@@ -11,7 +11,7 @@ from claimlake import functions as cf
 from claimlake.operators import facts, masters, match, metrics, outliers
 from claimlake.operators import profiling, quality, reports, rows
 from claimlake.plans import jobs
-from claimlake.schemas import CLAIMS, RECORDS, REMITTANCE, spec_of
+from claimlake.schemas import CLAIMS, RECORDS, REMITTANCE, TableSpec, spec_of
 from claimlake.sources import readers
 from claimlake.sources.driver_tables import ClaimsTables, scan
 
@@ -173,6 +173,11 @@ def _(t):
     )
 
 
+@on_claims_tables("p12_stable_row_key")
+def _(t):
+    return rows.with_row_numbers(t["remittance"].select(*PAYMENT, "received_amount"), PAYMENT)
+
+
 @on_claims_tables("p13_open_claim_dates")
 def _(t):
     return facts.prepare_open_claims(t["open_claims"]).select(
@@ -503,10 +508,17 @@ on_claims_tables("w1_latest_denial")(lambda t: facts.latest_denial(t["remittance
 
 @on_claims_tables("w2_claim_totals")
 def _(t):
-    matched = match.match_claims(t["claims"], t["remittance"], "left").select(
-        *ACTIVITY, "ra_seq", "netclaim", "received_amount"
+    totals = metrics.match_with_totals(t["claims"], t["remittance"])
+    return totals.select(*ACTIVITY, "ra_seq", "netclaim", "received_amount",
+                         "total_claim_amount", "total_approved_amount")
+
+
+@on_claims_tables("w2_claim_totals_of_rows")
+def _(t):
+    return metrics.with_claim_totals(
+        t["remittance"].select(*PAYMENT, F.col("insurance_claim_amt"), "received_amount"),
+        key="claim_id", claimed="insurance_claim_amt",
     )
-    return metrics.with_claim_totals(matched)
 
 
 @on_claims_tables("w3_total_paid")
@@ -563,8 +575,15 @@ def _(t):
     )
 
 
-@on_claims_tables("q3_check_tables")
+@on_claims_tables("q2_type_report")
 def _(t):
+    return quality.type_report(t["claims"], {
+        "claimid": "string", "gross": "double", "org_sub_seq": "int", "activitycode": "int",
+        "center_id": "int", "visit_id": "string", "clinician": "double",
+    })
+
+
+def _checked(t):
     return quality.check_tables(
         {"claims": t["claims"], "remittance": t["remittance"], "doctors": t["doctors"]},
         required={"claims": ["claimid", "gross"], "remittance": ["claim_id", "denial_code"],
@@ -573,6 +592,17 @@ def _(t):
     )
 
 
+on_claims_tables("q3_check_tables")(_checked)
+on_claims_tables("q4_load_gate")(lambda t: quality.load_gate(_checked(t)))
+
+
+@on_claims_tables("q6_written_table")
+def _(t):
+    spec = spec_of("f_claim_submission")
+    columns = [*spec.columns, "audit_control_number"]
+    return quality.check_written(readers.select_spec(t["claims"], spec), spec.name, columns)
+
+
 def _flawed(t):
     return t["claims"].select(
         "claimid", "activityid", F.when(F.col("clinician").isNotNull(), F.col("memberid"))
@@ -676,6 +706,12 @@ def _(t):
     return _rounded(replaced, "gross", "netclaim")
 
 
+@on_scans("b15_full_profile")
+def _(spark, sf_dir):
+    profile = profiling.profile_rows(profiling.full_profile(scan(spark, sf_dir, "orders")))
+    return profile.withColumn("number", F.round("number", 4))
+
+
 # --- composed jobs ---------------------------------------------------------------
 
 @on_claims_tables("b1_prepare_claims")
@@ -694,6 +730,27 @@ def _(t):
 
 
 on_claims_tables("b5_final_dataset")(jobs.build_final_dataset)
+
+HOSPITALS = TableSpec("m_hospital_center_master", ("center_id", "center_name"), key_column="center_id")
+CODES = TableSpec("m_insurance_denial_codes", ("denial_code", "code_description"), key_column="denial_code")
+
+
+def _transformed(t, fact: str, rows_of: str, master: TableSpec, master_rows: DataFrame) -> DataFrame:
+    spec = spec_of(fact)
+    plan = jobs.LoadPlan(facts=(spec,), masters=(master,), joins={fact: {master.name: master.key_column}})
+    return jobs.transform_tables({fact: t[rows_of], master.name: master_rows}, plan)[fact]
+
+
+@on_claims_tables("b7_transformed")
+def _(t):
+    return _transformed(t, "f_claim_submission", "claims", HOSPITALS, masters.hospital_keys(t["hospitals"]))
+
+
+@on_claims_tables("b7_transformed_remittance")
+def _(t):
+    return _transformed(t, "f_remittance_advice", "remittance", CODES, t["denial_codes"])
+
+
 on_claims_tables("b8_center_report_claim_grain")(
     lambda t: jobs.center_report(t, grain="claim")
 )

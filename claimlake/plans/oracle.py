@@ -16,18 +16,18 @@ with l as (select l_orderkey, l_linenumber, min(l_suppkey) s, min(l_partkey) p,
 select 'C' || l_orderkey as claimid, 'M' || o_custkey as memberid,
   case when l_orderkey % 101 = 0 then cast(0 as double) else cast(g as double) end as gross,
   cast(g - n as double) as patientshare, cast(n as double) as netclaim, cast(n as double) as activitynet,
-  substr(o_orderpriority, 1, 1) as encountertype, o_orderdate as bill_finalized_date, ship as submission_date,
+  case when l_orderkey % 89 = 0 then '9' else substr(o_orderpriority, 1, 1) end as encountertype, o_orderdate as bill_finalized_date, ship as submission_date,
   case when l_orderkey % 50 = 0 then 'X' when o_orderstatus = 'F' then 'C' when o_orderstatus = 'O' then 'S' else 'N' end as claim_status,
-  cast(s % 25 as varchar(9)) as center_id,
+  case when l_orderkey % 97 = 0 then '99' else cast(s % 25 as varchar(9)) end as center_id,
   l_orderkey || '.' || l_linenumber || case l_linenumber % 3 when 1 then '-I1' when 2 then '-R2' else '' end as activityid,
   case p % 7 when 0 then '99213' when 1 then ' 99285 ' when 2 then '9.01' when 3 then '61.08' when 4 then '99499' when 5 then '9922' else '80050' end as activitycode,
   cast(case when l_orderkey % 17 <> 0 then 1 + l_orderkey % 2 end as int) as org_sub_seq,
   case when s % 10 <> 0 then 'S' || s end as clinician,
-  case when s % 7 = 0 then '' when s % 11 <> 0 then 'S' || ((s + 1) % 100) end as orderingclinician,
+  case when s % 7 = 0 then '' when s % 11 <> 0 then 'S' || (s + 1) end as orderingclinician,
   case l_linenumber when 1 then 'OPDOC' when 2 then 'ROPDOC' else 'LAB' end as charge_head,
-  case when s % 3 <> 0 then 'S' || ((s + 2) % 100) end as payee_doctor_id,
-  case when s % 4 <> 0 then 'S' || ((s + 3) % 100) end as prescribing_dr_id,
-  'S' || ((s + 4) % 100) as admitting_dr_id,
+  case when s % 3 <> 0 then 'S' || (s + 2) end as payee_doctor_id,
+  case when s % 4 <> 0 then 'S' || (s + 3) end as prescribing_dr_id,
+  'S' || (s + 4) as admitting_dr_id,
   strftime(o_orderdate, '%d/%m/%Y') as encounterstart, case when p % 30 = 0 then 'P-' else 'P' || p end as plan_id, case when o_custkey % 20 = 0 then 'I-' else 'I' || o_custkey end as insurance_co_id,
   'T' || (o_custkey % 4) as tpa_id, cast(o_custkey % 5 as int) as org_id,
   case when l_orderkey % 3 = 0 then 'E' || l_linenumber end as denial_code
@@ -44,34 +44,34 @@ from lineitem where l_returnflag <> 'N'""",
     "open_claims": """
 select 'C' || o_orderkey as claimid, case when o_orderkey % 10 = 0 then 'n/a' else strftime(o_orderdate, '%d/%m/%Y') || ' 10:00' end as start_date,
   cast(o_custkey % 25 as varchar(9)) as center_id, case when o_custkey % 30 = 0 then 'P-' else 'P' || o_custkey end as plan_id, case when o_custkey % 20 = 0 then 'I-' else 'I' || o_custkey end as insurance_co_id,
-  case when o_custkey % 3 <> 0 then 'S' || (o_custkey % 100) end as payee_doctor_id,
-  case when o_custkey % 4 <> 0 then 'S' || ((o_custkey + 1) % 100) end as prescribing_dr_id,
-  'S' || ((o_custkey + 2) % 100) as admitting_dr_id, o_totalprice as gross
+  case when o_custkey % 3 <> 0 then 'S' || (o_custkey // 15) end as payee_doctor_id,
+  case when o_custkey % 4 <> 0 then 'S' || (o_custkey // 15 + 1) end as prescribing_dr_id,
+  'S' || (o_custkey // 15 + 2) as admitting_dr_id, o_totalprice as gross
 from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey)""",
     "hospitals": """
 select ' ' || n_nationkey || ' ' as center_id, n_name as center_name, 'H' || n_nationkey as hospital_center_service_reg_no, 'HA' || n_regionkey as health_authority from nation""",
     "clusters": """
-select 'K' || r_regionkey as cluster_id, r_name as cluster_name, n_nationkey || ' ' as center_id from nation join region on n_regionkey = r_regionkey where n_nationkey % 6 <> 5""",
+select 'K' || r_regionkey as cluster_id, r_name as cluster_name, case when n_nationkey % 6 = 5 then 'x' else '' end || n_nationkey || ' ' as center_id from nation join region on n_regionkey = r_regionkey""",
     "insurers": """
 select 'I' || c_custkey as insurance_co_id, c_name as insurance_co_name from customer""",
     "plans": """
-select 'P' || p_partkey as plan_id, 'G' || (p_partkey % 8) as category_id, p_name as plan_name, 'RR' || p_size as rateplan_rule_id from part""",
+select 'P' || p_partkey as plan_id, case when p_partkey % 40 < 7 then 'G-' else 'G' || (p_partkey % 8) end as category_id, p_name as plan_name, 'RR' || p_size as rateplan_rule_id from part""",
     "categories": """
-select 'G' || (p_partkey % 8) as category_id, min(p_type) as category_name from part where p_partkey % 8 < 6 group by 'G' || (p_partkey % 8)""",
+select 'G' || (p_partkey % 8) as category_id, min(p_type) as category_name from part group by 'G' || (p_partkey % 8)""",
     "organizations": """
 select cast(r_regionkey as int) as org_id, r_name as org_name from region""",
     "encounter_types": """
-select distinct substr(o_orderpriority, 1, 1) as id, substr(o_orderpriority, 3, 20) as encounter_type_desc from orders where o_orderpriority <> '5-LOW'""",
+select distinct substr(o_orderpriority, 1, 1) as id, substr(o_orderpriority, 3, 20) as encounter_type_desc from orders""",
     "tpa": """
 select 'T' || r_regionkey as tpa_id, case when r_regionkey % 2 = 0 then 'XML' else 'XLS' end as claim_format from region""",
     "denial_codes": """
 select 'D' || s_suppkey as denial_code, 'reason ' || s_suppkey as code_description, case s_suppkey % 3 when 0 then 'payer' when 1 then 'provider' end as responsibility from supplier""",
     "doctors": """
-select 'S' || s_suppkey as doctor_id, s_name as doctor_name, 'spec' || (s_suppkey % 4) as specialization, 'N' || s_nationkey as dept_id from supplier""",
+select 'S' || s_suppkey as doctor_id, s_name as doctor_name, 'spec' || (s_suppkey % 4) as specialization, case when s_suppkey % 24 = 0 then 'N-' else 'N' || s_nationkey end as dept_id from supplier""",
     "licences": """
-select 'S' || s_suppkey as doctor_id, case when s_suppkey % 13 <> 0 then 'L' || s_suppkey end as doctor_license_number from supplier where s_suppkey % 5 <> 0""",
+select case when s_suppkey % 5 = 0 then 'S-' else 'S' end || s_suppkey as doctor_id, case when s_suppkey % 13 <> 0 then 'L' || s_suppkey end as doctor_license_number from supplier""",
     "departments": """
-select 'N' || n_nationkey as dept_id, 'dept ' || n_name as dept_name from nation where n_nationkey <> 24""",
+select 'N' || n_nationkey as dept_id, 'dept ' || n_name as dept_name from nation""",
     "referrals": """
 select case when c_custkey % 9 <> 0 then 'L' || c_custkey end as clinician_id, c_name as name from customer""",
     # Derived steps that several queries share.
@@ -339,6 +339,21 @@ def check(table: str, name: str, test: str) -> str:
     return f"select '{table}' as table_name, '{name}' as check_name, {test} as passed"
 
 
+CHECKS = [
+        check("claims", "has_data", "(select count(*) > 0 from claims)"),
+        check("claims", "no_nulls", "(select count(*) = 0 from claims where claimid is null or gross is null)"),
+        check("claims", "expected_columns", "true"),
+        check("claims", "unique_keys", "(select max(n) = 1 from (select count(*) n from claims group by claimid, activityid))"),
+        check("remittance", "has_data", "(select count(*) > 0 from remittance)"),
+        check("remittance", "no_nulls", "(select count(*) = 0 from remittance where claim_id is null or denial_code is null)"),
+        check("remittance", "expected_columns", "true"),
+        check("remittance", "unique_keys", "(select max(n) = 1 from (select count(*) n from remittance group by claim_id, activity_id))"),
+        check("doctors", "has_data", "(select count(*) > 0 from doctors)"),
+        check("doctors", "no_nulls", "(select count(*) = 0 from doctors where doctor_id is null)"),
+        check("doctors", "expected_columns", "false"),
+        check("doctors", "unique_keys", "true"),
+]
+
 LINEITEM_TYPES = [
     ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
     ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
@@ -385,6 +400,8 @@ order by bill_finalized_date, {ACT} limit 200"""),
     "p11_row_received": over("remittance", f"""select {PAY}, case when ra_seq = 2 then transaction_date end as first_received,
   case when ra_seq = 3 then transaction_date end as second_received, case when ra_seq = 4 then transaction_date end as third_received from remittance"""),
     "p12_row_key": over("remittance", "select count(*) as n_rows, count(*) as n_keys from remittance"),
+    "p12_stable_row_key": over("remittance", f"""select {PAY}, received_amount,
+  row_number() over (order by claim_id, activity_id, ra_seq) - 1 as row_key from remittance"""),
     "p13_open_claim_dates": over("opened", """select claimid, encounter_start_date, encounter_start_date as enc_date,
   cast(year(encounter_start_date) as int) as enc_year, cast(month(encounter_start_date) as int) as enc_month from opened"""),
     "p14_hospital_keys": over("hospital_dim", """select center_id, center_name, hospital_center_service_reg_no, health_authority,
@@ -484,6 +501,9 @@ from claims group by center_id, claim_status"""),
     "w2_claim_totals": over("matched", f"""select {ACT}, ra_seq, netclaim, received_amount,
   cast(sum(cast(netclaim as decimal(18,4))) over (partition by claimid) as double) as total_claim_amount,
   cast(sum(cast(received_amount as decimal(18,4))) over (partition by claimid) as double) as total_approved_amount from matched"""),
+    "w2_claim_totals_of_rows": over("remittance", f"""select {PAY}, insurance_claim_amt, received_amount,
+  cast(sum(cast(insurance_claim_amt as decimal(18,4))) over (partition by claim_id) as double) as total_claim_amount,
+  cast(sum(cast(received_amount as decimal(18,4))) over (partition by claim_id) as double) as total_approved_amount from remittance"""),
     "w3_total_paid": over("remittance", f"""select {PAY}, received_amount,
   cast(sum(cast(received_amount as decimal(18,4))) over (partition by claim_id) as double) as total_paid_amount from remittance"""),
     "w4_denial_count": over("remittance", f"""select {PAY}, denial_code,
@@ -504,20 +524,22 @@ union all select claimid, null, center_id, plan_id, gross, 'U' from open_claims"
   union all select 'orderingclinician', 'null values', count(*) - count(orderingclinician) from claims
   union all select 'org_sub_seq', 'null values', count(*) - count(org_sub_seq) from claims
   union all select 'gross', 'null values', count(*) - count(gross) from claims) where null_count is null or null_count > 0"""),
-    "q3_check_tables": over("claims remittance doctors", " union all ".join([
-        check("claims", "has_data", "(select count(*) > 0 from claims)"),
-        check("claims", "no_nulls", "(select count(*) = 0 from claims where claimid is null or gross is null)"),
-        check("claims", "expected_columns", "true"),
-        check("claims", "unique_keys", "(select max(n) = 1 from (select count(*) n from claims group by claimid, activityid))"),
-        check("remittance", "has_data", "(select count(*) > 0 from remittance)"),
-        check("remittance", "no_nulls", "(select count(*) = 0 from remittance where claim_id is null or denial_code is null)"),
-        check("remittance", "expected_columns", "true"),
-        check("remittance", "unique_keys", "(select max(n) = 1 from (select count(*) n from remittance group by claim_id, activity_id))"),
-        check("doctors", "has_data", "(select count(*) > 0 from doctors)"),
-        check("doctors", "no_nulls", "(select count(*) = 0 from doctors where doctor_id is null)"),
-        check("doctors", "expected_columns", "false"),
-        check("doctors", "unique_keys", "true"),
-    ])),
+    "q2_type_report": over("claims", """select * from (
+  select 'claimid' as column_name, 'string' as expected, 'string' as found, true as matches, cast(0 as bigint) as unread
+  union all select 'gross', 'double', 'double', true, 0
+  union all select 'org_sub_seq', 'int', 'int', true, 0
+  union all select 'activitycode', 'int', 'string', false, (select count(*) from claims where activitycode in ('9.01', '61.08'))
+  union all select 'center_id', 'int', 'string', false, 0
+  union all select 'visit_id', 'string', null, false, null
+  union all select 'clinician', 'double', 'string', false, (select count(clinician) from claims))"""),
+    "q3_check_tables": over("claims remittance doctors", " union all ".join(CHECKS)),
+    "q4_load_gate": over("claims remittance doctors", f"""select count(distinct table_name) as tables,
+  count(*) filter (not passed) as failed, bool_and(passed) as load from ({" union all ".join(CHECKS)})"""),
+    "q6_written_table": over("claims", " union all ".join(
+        [check("f_claim_submission", "has_data", "(select count(*) > 0 from claims)")]
+        + [check("f_claim_submission", f"column {c}", str(c != "audit_control_number").lower()) for c in (
+            "claimid", "memberid", "gross", "patientshare", "netclaim", "encountertype", "activitynet",
+            "bill_finalized_date", "claim_status", "center_id", "audit_control_number")])),
     "q5_quarantine": over("claims", f"""select {ACT}, reasons from (select {ACT}, concat_ws('; ',
     case when clinician is null then 'memberid: missing' end, case when org_id = 4 then 'gross: not double' end,
     case when activitycode = '9.01' or activitycode = '61.08' then 'org_sub_seq: not int' end) as reasons from claims) where reasons <> ''"""),
@@ -578,11 +600,15 @@ select claimid as claim_id, encounter_start_date as encounterstart_date, center_
   cast(month(encounter_start_date) as int) as enc_month, center_name, cluster_name, insurance_co_name, plan_name, category_name,
   doctor_name, doctor_dept, ordering_doctor_name, ordering_doctor_dept
 from (select c.*, {ENRICHED} from opened c {ENRICH_OPEN})"""),
+    "b7_transformed": over("claims hospital_dim", """select claimid, memberid, gross, patientshare, netclaim, encountertype, activitynet,
+  bill_finalized_date, claim_status, c.center_id, h.center_name from claims c left join hospital_dim h on c.center_id = h.center_id"""),
+    "b7_transformed_remittance": over("remittance denial_codes", """select claim_id, r.denial_code, received_amount, activity_id, transaction_date,
+  insurance_claim_amt, org_id, d.code_description from remittance r left join denial_codes d on r.denial_code = d.denial_code"""),
     "b8_center_report_filtered": over("prep remittance hospital_dim", f""", kept as (
   select c.*, r.received_amount, r.transaction_date from prep c left join (
-    select * from remittance where transaction_date between '1994-01-01' and '1996-12-31' and org_id in (0, 1, 3)) r
+    select * from remittance where transaction_date >= '1994-01-01' and transaction_date < '1996-12-31' and org_id in (0, 1, 3)) r
   on c.claimid = r.claim_id and c.cleaned_activityid = r.activity_id
-  where c.org_id in (1, 2) and c.bill_finalized_date between '1993-01-01' and '1997-12-31')
+  where c.org_id in (1, 2) and c.bill_finalized_date >= '1993-01-01' and c.bill_finalized_date < '1997-12-31')
 {center_report('kept')}"""),
     "b8_center_report_claim_grain": over("prep remittance hospital_dim", f""", paid as (select claim_id, activity_id,
     {money('received_amount')} as received_amount, max(transaction_date) as transaction_date from remittance group by claim_id, activity_id),
@@ -650,4 +676,34 @@ BUILT["q12_narrowing_advice"] = " union all ".join(
     ]
 )
 
+ORDERS_TYPES = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
+                ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+ORDERS_NUMBERS = ["o_orderkey", "o_custkey", "o_totalprice"]
+
+
+def melted(section: str, sql: str, about: list[str], numbers: list[str], texts: list[str]) -> str:
+    """Rows of a result as (section, subject, measure, number, text)."""
+    subject = f"concat_ws('|', {', '.join(f'cast({c} as varchar)' for c in about)})" if about else "''"
+    return " union all ".join(
+        [f"select '{section}' as section, {subject} as subject, '{c}' as measure, round(cast({c} as double), 4) as number, cast(null as varchar) as text from ({sql})"
+         for c in numbers]
+        + [f"select '{section}', {subject}, '{c}', null, cast({c} as varchar) from ({sql})" for c in texts])
+
+
+BUILT["b15_full_profile"] = " union all ".join([
+    melted("table", f"""select sum(n) as rows, 6 as columns, sum(n - 1) as duplicate_rows from (
+  select count(*) as n from orders group by {', '.join(c for c, _ in ORDERS_TYPES)})""", [], ["rows", "columns", "duplicate_rows"], []),
+    melted("columns", value_profile("orders", ORDERS_TYPES), ["column_name"],
+           ["null_count", "null_percentage", "distinct_count", "distinct_percentage"], ["type"]),
+    melted("narrowing", BUILT["q12_narrowing_advice"], ["column_name"], ["low", "high", "saved_percentage"], ["suggested_type"]),
+    melted("numeric", " union all ".join(
+        f"""select '{c}' as column_name, avg({c}) as mean, stddev_samp({c}) as std, min({c}) as min, max({c}) as max,
+  median({c}) as median, skewness({c}) as skewness, kurtosis({c}) as kurtosis from orders""" for c in ORDERS_NUMBERS),
+        ["column_name"], ["mean", "std", "min", "max", "median", "skewness", "kurtosis"], []),
+    melted("correlations", " union all ".join(
+        f"select '{a}' as column_a, '{b}' as column_b, corr({a}, {b}) as correlation from orders"
+        for a in ORDERS_NUMBERS for b in ORDERS_NUMBERS), ["column_a", "column_b"], ["correlation"], []),
+    melted("strings", BUILT["q10_string_profile"], ["column_name", "place"], ["avg_length", "n"], ["value"]),
+])
+
 ORACLE = BUILT

@@ -203,6 +203,31 @@ TABLE_SPECS = {
     )
 }
 
+# Source tables by the names that jobs use, and the columns read of each master
+# (none: all of them).
+SOURCE_TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
+    "claims": ("f_claim_submission", ()),
+    "remittance": ("f_remittance_advice", ()),
+    "open_claims": ("f_open_claims", ()),
+    "hospitals": ("m_hospital_center_master",
+                  ("center_id", "center_name", "hospital_center_service_reg_no", "health_authority")),
+    "clusters": ("m_cluster_master", ("cluster_id", "cluster_name", "center_id")),
+    "insurers": ("m_insurance_company_master", ()),
+    "plans": ("m_insurance_plan_main", ("plan_id", "category_id", "plan_name", "rateplan_rule_id")),
+    "categories": ("m_insurance_category_master", ("category_id", "category_name")),
+    "organizations": ("m_organization_details", ("org_id", "org_name")),
+    "encounter_types": ("m_encounter_type_codes", ("id", "encounter_type_desc")),
+    "tpa": ("m_tpa_master", ()),
+    "denial_codes": ("m_insurance_denial_codes", ("denial_code", "code_description", "responsibility")),
+    "doctors": ("m_doctors", ("doctor_id", "doctor_name", "specialization", "dept_id")),
+    "licences": ("m_ha_doc_license_details", ("doctor_id", "doctor_license_number")),
+    "departments": ("m_department", ("dept_id", "dept_name")),
+    "referrals": ("m_referral", ("clinician_id", "name")),
+}
+
+# The facts whose columns are declared, brought to them when they are read from stored sets.
+DECLARED = {"claims": CLAIMS, "remittance": REMITTANCE}
+
 # Date column and slice count of the sliced database reads.
 SLICED_READS = {
     "claims": ("bill_finalized_date", 50),

@@ -1,7 +1,9 @@
 """Claims-shaped views over the order tables (region ... lineitem).
 
-Each view stands for one table of a claims warehouse. All are lazy and read whole tables;
-fact keys without a master row are planted on the fact side. The amounts use decimal arithmetic so that results are reproducible.
+Each view stands for one table of a claims warehouse. All are lazy and read whole tables. Keys
+without a master row are planted in the tables that refer to it. Doctors of all roles are
+suppliers; a role's key may lie past the last of them. The amounts use decimal arithmetic so that
+results are reproducible.
 """
 
 from __future__ import annotations
@@ -53,24 +55,24 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("g") - F.col("n")).cast("double").alias("patientshare"),
         net.alias("netclaim"),
         net.alias("activitynet"),
-        F.substring("o_orderpriority", 1, 1).alias("encountertype"),
+        F.when(o % 89 == 0, "9").otherwise(F.substring("o_orderpriority", 1, 1)).alias("encountertype"),
         F.col("o_orderdate").alias("bill_finalized_date"),
         F.col("ship").alias("submission_date"),
         F.when(o % 50 == 0, "X").when(F.col("o_orderstatus") == "F", "C")
         .when(F.col("o_orderstatus") == "O", "S").otherwise("N").alias("claim_status"),
-        (s % 25).cast("string").alias("center_id"),
+        F.when(o % 97 == 0, "99").otherwise((s % 25).cast("string")).alias("center_id"),
         F.concat(o.cast("string"), F.lit("."), line.cast("string"), suffix)
         .alias("activityid"),
         code.alias("activitycode"),
         F.when(o % 17 != 0, 1 + o % 2).cast("int").alias("org_sub_seq"),
         F.when(s % 10 != 0, _tag("S", s)).alias("clinician"),
-        F.when(s % 7 == 0, "").when(s % 11 != 0, _tag("S", (s + 1) % 100))
+        F.when(s % 7 == 0, "").when(s % 11 != 0, _tag("S", s + 1))
         .alias("orderingclinician"),
         F.when(line == 1, "OPDOC").when(line == 2, "ROPDOC").otherwise("LAB")
         .alias("charge_head"),
-        F.when(s % 3 != 0, _tag("S", (s + 2) % 100)).alias("payee_doctor_id"),
-        F.when(s % 4 != 0, _tag("S", (s + 3) % 100)).alias("prescribing_dr_id"),
-        _tag("S", (s + 4) % 100).alias("admitting_dr_id"),
+        F.when(s % 3 != 0, _tag("S", s + 2)).alias("payee_doctor_id"),
+        F.when(s % 4 != 0, _tag("S", s + 3)).alias("prescribing_dr_id"),
+        _tag("S", s + 4).alias("admitting_dr_id"),
         _day_text("o_orderdate").alias("encounterstart"),
         F.when(p % 30 == 0, "P-").otherwise(_tag("P", p)).alias("plan_id"),
         F.when(F.col("o_custkey") % 20 == 0, "I-")
@@ -120,6 +122,7 @@ def open_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("o_orderkey")
     ).distinct()
     o, c = F.col("o_orderkey"), F.col("o_custkey")
+    doctor = F.floor(c / 15)  # there are fifteen customers to a supplier
     return scan(spark, sf_dir, "orders").join(with_lines, "o_orderkey", "left_anti").select(
         _tag("C", o).alias("claimid"),
         F.when(o % 10 == 0, "n/a")
@@ -127,9 +130,9 @@ def open_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         (c % 25).cast("string").alias("center_id"),
         F.when(c % 30 == 0, "P-").otherwise(_tag("P", c)).alias("plan_id"),
         F.when(c % 20 == 0, "I-").otherwise(_tag("I", c)).alias("insurance_co_id"),
-        F.when(c % 3 != 0, _tag("S", c % 100)).alias("payee_doctor_id"),
-        F.when(c % 4 != 0, _tag("S", (c + 1) % 100)).alias("prescribing_dr_id"),
-        _tag("S", (c + 2) % 100).alias("admitting_dr_id"),
+        F.when(c % 3 != 0, _tag("S", doctor)).alias("payee_doctor_id"),
+        F.when(c % 4 != 0, _tag("S", doctor + 1)).alias("prescribing_dr_id"),
+        _tag("S", doctor + 2).alias("admitting_dr_id"),
         F.col("o_totalprice").alias("gross"),
     )
 
@@ -148,11 +151,11 @@ def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = (scan(spark, sf_dir, t) for t in ("nation", "region"))
     return (
         nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .filter(F.col("n_nationkey") % 6 != 5)
         .select(
             _tag("K", F.col("r_regionkey")).alias("cluster_id"),
             F.col("r_name").alias("cluster_name"),
-            F.concat(F.col("n_nationkey").cast("string"), F.lit(" ")).alias("center_id"),
+            F.concat(F.when(F.col("n_nationkey") % 6 == 5, "x").otherwise(""),
+                     F.col("n_nationkey").cast("string"), F.lit(" ")).alias("center_id"),
         )
     )
 
@@ -168,7 +171,7 @@ def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("p_partkey")
     return scan(spark, sf_dir, "part").select(
         _tag("P", p).alias("plan_id"),
-        _tag("G", p % 8).alias("category_id"),
+        F.when(p % 40 < 7, "G-").otherwise(_tag("G", p % 8)).alias("category_id"),
         F.col("p_name").alias("plan_name"),
         _tag("RR", F.col("p_size")).alias("rateplan_rule_id"),
     )
@@ -176,7 +179,7 @@ def plans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        scan(spark, sf_dir, "part").filter("p_partkey % 8 < 6")
+        scan(spark, sf_dir, "part")
         .groupBy(_tag("G", F.col("p_partkey") % 8).alias("category_id"))
         .agg(F.min("p_type").alias("category_name"))
     )
@@ -189,7 +192,7 @@ def organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encounter_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(spark, sf_dir, "orders").filter("o_orderpriority <> '5-LOW'").select(
+    return scan(spark, sf_dir, "orders").select(
         F.substring("o_orderpriority", 1, 1).alias("id"),
         F.substring("o_orderpriority", 3, 20).alias("encounter_type_desc"),
     ).distinct()
@@ -218,20 +221,20 @@ def doctors(spark: SparkSession, sf_dir: str) -> DataFrame:
         _tag("S", s).alias("doctor_id"),
         F.col("s_name").alias("doctor_name"),
         _tag("spec", s % 4).alias("specialization"),
-        _tag("N", F.col("s_nationkey")).alias("dept_id"),
+        F.when(s % 24 == 0, "N-").otherwise(_tag("N", F.col("s_nationkey"))).alias("dept_id"),
     )
 
 
 def licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("s_suppkey")
-    return scan(spark, sf_dir, "supplier").filter("s_suppkey % 5 <> 0").select(
-        _tag("S", s).alias("doctor_id"),
+    return scan(spark, sf_dir, "supplier").select(
+        F.when(s % 5 == 0, _tag("S-", s)).otherwise(_tag("S", s)).alias("doctor_id"),
         F.when(s % 13 != 0, _tag("L", s)).alias("doctor_license_number"),
     )
 
 
 def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(spark, sf_dir, "nation").filter("n_nationkey <> 24").select(
+    return scan(spark, sf_dir, "nation").select(
         _tag("N", F.col("n_nationkey")).alias("dept_id"),
         F.concat(F.lit("dept "), F.col("n_name")).alias("dept_name"),
     )

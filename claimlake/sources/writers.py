@@ -50,11 +50,12 @@ def write_dated(df: DataFrame, folder: str, table: str, day: date | None = None)
     return path
 
 
-def write_profile(
-    profile: Mapping[str, DataFrame], folder: str, table: str, day: date | None = None
-) -> str:
+def profile_folder(folder: str, table: str, day: date | None = None) -> str:
+    return f"{folder}/{table}_profile_{(day or date.today()):%Y%m%d}"
+
+
+def write_profile(profile: Mapping[str, DataFrame], path: str) -> str:
     """Every profile result as JSON lines in its own folder of the report."""
-    path = f"{folder}/{table}_profile_{(day or date.today()):%Y%m%d}"
     for name, result in profile.items():
         result.write.mode("overwrite").json(f"{path}/{name}")
     return path
