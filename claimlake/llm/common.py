@@ -40,6 +40,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_aside(df: DataFrame, drop: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """``df`` with its columns renamed by place, so that they meet no name an operator adds; the
+    new name of each column; and what selects them back. Columns named in ``drop`` go."""
+    kept = [c for c in df.columns if c.lower() not in drop]
+    names = {c: f"c{i}" for i, c in enumerate(kept)}
+    inner = df.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    return inner, names, [F.col(n).alias(c) for c, n in names.items()]
+
+
 def attach_small(df: DataFrame, small: DataFrame, key: str, max_rows: int = 100_000) -> DataFrame:
     """Left join on ``key``, nulls matching nulls; ``small`` (staged, one row a key) is broadcast
     after its rows were counted, and joined by a shuffle beyond ``max_rows``. The rows are the

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.llm import shingles as S
-from claimlake.llm.common import stage, text_bytes
+from claimlake.llm.common import text_bytes
 
 #: Bytes of item text in one broadcast block.
 BLOCK_BYTES = 8 << 20
@@ -83,31 +83,65 @@ class _Items:
         return out
 
 
+def _leaks(items: _Items, column: pa.Array, percent: int) -> Iterator[tuple[int, int, int]]:
+    """(row, item, shared shingles) of the texts that hold an item, checked on full sets."""
+    flat, offsets = text_bytes(column)
+    for low, _, hashes, begins in S.row_shingles(flat, offsets):
+        held, last = None, -1
+        for r, i in sorted(items.candidates(hashes, begins)):
+            if r != last:
+                held, last = np.unique(hashes[begins[r]:begins[r + 1]]), r
+            n = len(np.intersect1d(held, items.sets[i], assume_unique=True))
+            if 100 * n >= percent * len(items.sets[i]):
+                yield low + r, i, n
+
+
 def _search(shared, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = _Items(*shared.value)
         for batch in batches:
-            flat, offsets = text_bytes(batch.column("_bytes"))
-            at, item, both, size = [], [], [], []
-            for low, _, hashes, begins in S.row_shingles(flat, offsets):
-                held, last = None, -1
-                for r, i in sorted(items.candidates(hashes, begins)):
-                    if r != last:
-                        held, last = np.unique(hashes[begins[r]:begins[r + 1]]), r
-                    n = len(np.intersect1d(held, items.sets[i], assume_unique=True))
-                    if 100 * n >= percent * len(items.sets[i]):
-                        at.append(low + r)
-                        item.append(items.ids[i])
-                        both.append(n)
-                        size.append(len(items.sets[i]))
+            found = np.array(list(_leaks(items, batch.column("_bytes"), percent)), np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id").take(pa.array(at, pa.int64())), pa.array(item, pa.int64()),
-                 pa.array(both, pa.int64()), pa.array(size, pa.int64())],
+                [batch.column("_id").take(pa.array(found[:, 0])), pa.array([items.ids[i] for i in found[:, 1]], pa.int64()),
+                 pa.array(found[:, 2]), pa.array([len(items.sets[i]) for i in found[:, 1]], pa.int64())],
                 ["_id", "_item", "n_shared", "n_item"])
 
     return run
 
 
+def _holds(shared, percent: int):
+    """Whether a text holds an item of the block."""
+    built: list[_Items] = []
+
+    @F.arrow_udf("boolean")
+    def holds(column: pa.Array) -> pa.Array:
+        if not built:
+            built.append(_Items(*shared.value))
+        out = np.zeros(len(column), bool)
+        out[[row for row, _, _ in _leaks(built[0], column, percent)]] = True
+        return pa.array(out)
+
+    return holds
+
+
+def _item_blocks(items: DataFrame, item_col: str, item_text_col: str, block_bytes: int,
+                 hashes: int, seed: int) -> Iterator:
+    """Broadcast blocks of items, of ``block_bytes`` of text each; one item may be larger."""
+    wanted = items.select(F.col(item_col).cast("long").alias("_item"),
+                          F.coalesce(F.col(item_text_col).cast("binary"), F.lit(b"")).alias("_bytes"))
+    ids, texts, held = [], [], 0
+    send = items.sparkSession.sparkContext.broadcast
+    for row in wanted.toLocalIterator():
+        if held + len(row["_bytes"]) > block_bytes and ids:
+            yield send((ids, texts, hashes, seed))
+            ids, texts, held = [], [], 0
+        ids.append(row["_item"])
+        texts.append(bytes(row["_bytes"]))
+        held += len(row["_bytes"]) + 64
+    if ids:
+        yield send((ids, texts, hashes, seed))
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", percent: int = 75,
                hashes: int = 64, seed: int = 11, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -126,37 +160,23 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_bytes"))
     kind = source.schema["_id"].dataType.simpleString()
     schema = f"_id {kind}, _item long, n_shared long, n_item long"
-    wanted = items.select(F.col(item_col).cast("long").alias("_item"),
-                          F.coalesce(F.col(item_text_col).cast("binary"), F.lit(b"")).alias("_bytes"))
-    found, ids, texts, held = [], [], [], 0
-
-    def flush():
-        shared = spark.sparkContext.broadcast((list(ids), list(texts), hashes, seed))
-        found.append(source.mapInArrow(_search(shared, percent), schema))
-
-    for row in wanted.toLocalIterator():
-        if held + len(row["_bytes"]) > block_bytes and ids:
-            flush()
-            ids, texts, held = [], [], 0
-        ids.append(row["_item"])
-        texts.append(bytes(row["_bytes"]))
-        held += len(row["_bytes"]) + 64
-    if ids:
-        flush()
     out = spark.createDataFrame([], schema)
-    for part in found:
-        out = out.unionByName(part)
+    for shared in _item_blocks(items, item_col, item_text_col, block_bytes, hashes, seed):
+        out = out.unionByName(source.mapInArrow(_search(shared, percent), schema))
     return out.select(
         F.col("_id").alias(id_col), F.col("_item").alias(item_col), "n_shared", "n_item",
         (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", percent: int = 75, hashes: int = 64, seed: int = 11,
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents of ``docs`` that hold none of the test items, with all their columns.
 
-    A document whose id is null is judged by its text like any other: it is kept unless it, or
-    another row without an id, holds an item. Rows that share an id are kept or go together.
+    Every row is judged by its own text, whatever its id: of rows that share an id, or have none,
+    those that hold an item go and the others stay. No column is added, so none can clash.
     """
-    leaks = find_leaks(docs, items, id_col, **options).select(F.col(id_col).alias("_leak")).distinct()
-    leaks = stage(leaks, "leaks")
-    return docs.join(leaks, docs[id_col].eqNullSafe(F.col("_leak")), "left_anti")
+    text = F.col(text_col).cast("binary")
+    for shared in _item_blocks(items, item_col, item_text_col, block_bytes, hashes, seed):
+        docs = docs.where(~_holds(shared, percent)(text))
+    return docs

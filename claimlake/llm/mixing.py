@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from claimlake.llm.common import WORD, attach_small, stage, unit
+from claimlake.llm.common import WORD, attach_small, set_aside, stage, unit
 
 #: Ranges that one pass of sums splits a range of the ranking into, and passes.
 _SPLITS, _PASSES = 1024, 4
@@ -105,10 +105,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Null, empty and blank texts have no words and get the certain copies. A null source is a
     source, the last one. Rows that repeat an id and its text draw the same number and are in
-    or out together; null ids draw by their text. All other columns are kept; those of the five
-    names above are replaced. No rows give no rows.
+    or out together; null ids draw by their text. All other columns are kept, whatever their
+    names; those of the five names above are replaced. No rows give no rows.
     """
-    added = ["_size", "_source_size", "_target", "_copies", "_taken"]
+    added = ("_size", "_source_size", "_target", "_copies", "_taken")
     size = n_words(F.col(text_col).cast("string"))
     u = unit(seed, F.col(id_col), F.col(text_col))
     slim = stage(docs.select(F.col(source_col).alias("source"), size.alias("size"), u.alias("u")), "sizes")
@@ -148,10 +148,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("copies").alias("_certain"), F.col("draw").alias("_draw"), F.col("rate").alias("_rate"),
         F.coalesce("z", F.lit(2.0)).alias("_cut"), F.coalesce("low", F.lit(2.0)).alias("_below")), "cuts")
 
-    out = docs.drop(*added).withColumns({"_size": size, "_u": u, "_key": F.col(source_col)})
-    out = attach_small(out, cuts, "_key")
+    rows, name, back = set_aside(docs, added)
+    text = F.col(name[text_col])
+    rows = rows.withColumns({"_size": n_words(text.cast("string")), "_u": unit(seed, F.col(name[id_col]), text),
+                             "_key": F.col(name[source_col])})
+    out = attach_small(rows, cuts, "_key")
     z = _rank(F.col("_size"), F.col("_rate"), F.col("_u"), size_power)
     extra = F.coalesce((F.col("_draw") > 0) & ((z < F.col("_below")) | (z <= F.col("_cut"))), F.lit(False))
     copies = (F.col("_certain") + extra.cast("long")).cast("long")
-    return out.withColumn("_copies", copies).withColumn("_taken", F.col("_copies") * F.col("_size")).drop(
-        "_u", "_key", "_certain", "_draw", "_rate", "_cut", "_below")
+    return out.withColumn("_copies", copies).select(
+        *back, "_size", "_source_size", "_target", "_copies", (F.col("_copies") * F.col("_size")).alias("_taken"))

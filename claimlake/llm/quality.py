@@ -106,8 +106,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most: in
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = 2000,
-                id_col: str = "doc_id", text_col: str = "text") -> AttentionModel:
-    """Train on the passages of at most ``sample`` labelled documents, gathered as dense features."""
+                id_col: str = "doc_id", text_col: str = "text", most_passages: int = 2000) -> AttentionModel:
+    """Train on the passages of at most ``sample`` labelled documents, gathered as dense features.
+
+    Of a training text with more than ``most_passages`` passages so many, evenly spaced, are
+    gathered; this bounds what reaches the driver. Texts are scored by all their passages.
+    """
 
     def run(batches):
         for batch in batches:
@@ -115,7 +119,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
             cells = [[] for _ in range(batch.num_rows)]
             for low, found, row in passage_features(flat, offsets):
                 for i in np.unique(row):
-                    cells[low + i].append(found[row == i].astype(np.float32).tobytes())
+                    own = found[row == i]
+                    own = own[np.linspace(0, len(own) - 1, min(len(own), most_passages)).astype(int)]
+                    cells[low + i].append(own.astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_label"), pa.array([b"".join(c) for c in cells], pa.binary())],
                 ["_id", "_label", "_cells"])

@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from claimlake.llm.common import stage
+from claimlake.llm.common import set_aside, stage
 
 #: Bytes of text that a bucket holds.
 BUCKET_BYTES = 16 << 20
+#: Buckets whose permutations one task draws.
+TASK_BUCKETS = 64
 #: Bytes that a record counts besides its text.
 RECORD_BYTES = 64
 
@@ -33,52 +35,70 @@ def shard_of(key: Column, shards: int, seed: int) -> Column:
     return F.coalesce(*(F.when(d == highest, F.lit(s)) for s, d in enumerate(draws))).cast("int")
 
 
-def shuffle_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
-                   bucket_bytes: int = BUCKET_BYTES, seed: int = 23) -> DataFrame:
-    """``docs`` with _shard (0 to ``shards`` - 1), _slot (gapless from 0 in it) and _grown_shard
-    (the shard if there were one more).
+def deal(docs: DataFrame, added: tuple[str, str, str], shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
+         bucket_bytes: int = BUCKET_BYTES, seed: int = 23) -> DataFrame:
+    """``docs`` with its shard, slot and grown shard in columns named by ``added``.
 
-    Shards depend on the id and the number of shards alone. The order within a shard is a
-    random permutation that depends on the seed and the records; the same records give the same
-    order. Rows that repeat in full are interchangeable and meet in one bucket, which spills to
-    disk while it is ranked. Null ids share a shard and spread over its buckets by their text;
-    null texts count no bytes. All columns are kept; those of the three names above are
-    replaced. No rows give no rows.
+    As ``shuffle_shards``, for callers that name the added columns themselves.
     """
-    docs = docs.drop("_shard", "_slot", "_grown_shard")
-    text, key = F.col(text_col), F.col(id_col)
+    docs, name, back = set_aside(docs)
+    text, key = F.col(name[text_col]), F.col(name[id_col])
     # bytes of each shard; buckets are sized to hold bucket_bytes each
-    volume = docs.groupBy(shard_of(key, shards, seed).alias("_shard")).agg(
+    volume = docs.groupBy(shard_of(key, shards, seed).alias("shard")).agg(
         F.sum(record_size(text) + RECORD_BYTES).alias("bytes"))
     most = volume.agg(F.max("bytes")).first()[0] or 1
     per_shard = max(1, -(-most // bucket_bytes))
     record = F.xxhash64(F.lit(seed + 1), key, text)
     shard = shard_of(key, shards, seed)
     bucket = F.pmod(record, F.lit(per_shard))
-    places = ["_shard", "_bucket"]
+    places = ["shard", "bucket"]
 
-    counts = docs.groupBy(shard.alias("_shard"), bucket.alias("_bucket")).agg(F.count("*").alias("n"))
-    in_shard = Window.partitionBy("_shard").orderBy("_bucket")
+    counts = docs.groupBy(shard.alias("shard"), bucket.alias("bucket")).agg(F.count("*").alias("n"))
+    in_shard = Window.partitionBy("shard").orderBy("bucket")
     counts = stage(counts.withColumn("first", F.sum("n").over(in_shard) - F.col("n")), "buckets")
     # Fisher-Yates: one permutation of the places of each bucket. The generator is seeded by
-    # partition and the buckets of a partition are taken in order, so a rerun draws the same.
-    n = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    drawn = counts.repartition(int(n), *places).sortWithinPartitions(*places).select(
-        F.col("_shard").alias("s"), F.col("_bucket").alias("b"), "first",
+    # partition and the buckets of a partition are taken in order; the partitions follow from the
+    # number of buckets alone, so a rerun draws the same under any setting.
+    tasks = -(-shards * per_shard // TASK_BUCKETS)
+    drawn = counts.repartition(tasks, *places).sortWithinPartitions(*places).select(
+        F.col("shard").alias("s"), F.col("bucket").alias("b"), "first",
         F.shuffle(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), F.lit(seed + 2)).alias("order"))
 
-    plain = [c for c, t in docs.dtypes if not t.startswith(("map", "variant", "array", "struct")) and c not in (id_col, text_col)]
-    by = Window.partitionBy(*places).orderBy("_record", key.asc_nulls_last(), *(F.col(f"`{c}`").asc_nulls_last() for c in plain))
+    plain = [c for c, t in docs.dtypes if not t.startswith(("map", "variant", "array", "struct")) and c not in (name[id_col], name[text_col])]
+    by = Window.partitionBy(*places).orderBy("record", key.asc_nulls_last(), *(F.col(c).asc_nulls_last() for c in plain))
     ranked = docs.withColumns({
-        "_shard": shard, "_bucket": bucket, "_record": record, "_grown_shard": shard_of(key, shards + 1, seed)})
-    ranked = ranked.withColumn("_place", F.row_number().over(by))
+        "shard": shard, "bucket": bucket, "record": record, "grown_shard": shard_of(key, shards + 1, seed)})
+    ranked = ranked.withColumn("place", F.row_number().over(by))
     # never broadcast: the permutations have a place for every record
-    out = ranked.join(drawn.hint("merge"), (F.col("_shard") == F.col("s")) & (F.col("_bucket") == F.col("b")))
-    out = out.withColumn("_slot", F.col("first") + F.element_at("order", F.col("_place")))
-    return out.drop("_bucket", "_record", "_place", "s", "b", "first", "order")
+    out = ranked.join(drawn.hint("merge"), (F.col("shard") == F.col("s")) & (F.col("bucket") == F.col("b")))
+    slot = F.col("first") + F.element_at("order", F.col("place"))
+    return out.select(*back, F.col("shard").alias(added[0]), slot.alias(added[1]), F.col("grown_shard").alias(added[2]))
+
+
+def shuffle_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
+                   bucket_bytes: int = BUCKET_BYTES, seed: int = 23) -> DataFrame:
+    """``docs`` with _shard (0 to ``shards`` - 1), _slot (gapless from 0 in it) and _grown_shard
+    (the shard if there were one more).
+
+    Shards depend on the id and the number of shards alone. The order within a shard is a
+    random permutation that depends on the seed and the records; the same records give the same
+    order, whatever the session's settings. Rows that repeat in full are interchangeable and meet
+    in one bucket, which spills to disk while it is ranked. Null ids share a shard and spread over
+    its buckets by their text; null texts count no bytes. All columns are kept, whatever their
+    names; those of the three names above are replaced. No rows give no rows.
+    """
+    added = ("_shard", "_slot", "_grown_shard")
+    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in added))
+    return deal(kept, added, shards, id_col, text_col, bucket_bytes, seed)
+
+
+def in_slot_order(shuffled: DataFrame, shard: str = "_shard", slot: str = "_slot") -> DataFrame:
+    """The rows as range partitions of (shard, slot), each in that order: files written from it
+    hold consecutive slots, and read in turn they give the order of the shuffle."""
+    return shuffled.repartitionByRange(shard, slot).sortWithinPartitions(shard, slot)
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:
-    """Write what ``shuffle_shards`` returns as a folder for each shard, its records in slot order
-    within each file; a file holds consecutive buckets."""
-    shuffled.sortWithinPartitions("_shard", "_slot").write.partitionBy("_shard").parquet(path)
+    """Write what ``shuffle_shards`` returns as a folder for each shard. A file holds consecutive
+    slots in their order, and the files of a shard follow one another by name."""
+    in_slot_order(shuffled).write.partitionBy("_shard").parquet(path)

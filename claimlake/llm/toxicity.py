@@ -57,15 +57,10 @@ def _runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.flatnonzero(mask & ~before[:-1]), np.flatnonzero(mask & ~after[1:]) + 1
 
 
-def _hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    _, down = S.powers(len(sums))
-    return S.mix((sums[ends] - sums[starts]) * down[starts])
-
-
 def _word_hashes(words: list[str]) -> np.ndarray:
     data = [w.encode() for w in words]
     offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])])
-    return _hash(S.prefix_hash(np.frombuffer(b"".join(data), np.uint8)), offsets[:-1], offsets[1:])
+    return S.word_hash(np.frombuffer(b"".join(data), np.uint8), offsets[:-1], offsets[1:])
 
 
 class _Terms:
@@ -74,12 +69,11 @@ class _Terms:
     def __init__(self, flat: np.ndarray, offsets: np.ndarray):
         lower = _LOWER[flat]
         self.starts, self.ends = _runs(_LETTER[flat], offsets)
-        sums = S.prefix_hash(lower)
-        self.word = _hash(sums, self.starts, self.ends)
+        self.word = S.word_hash(lower, self.starts, self.ends)
         self.row = np.searchsorted(offsets, self.starts, "right") - 1
         long = self.ends - self.starts > STEM
         self.stem = np.zeros(len(self.starts), np.uint64)
-        self.stem[long] = ~_hash(sums, self.starts[long], self.starts[long] + STEM)
+        self.stem[long] = ~S.word_hash(lower, self.starts[long], self.starts[long] + STEM)
 
 
 @dataclass(frozen=True)
@@ -97,8 +91,25 @@ class Lexicon:
         return np.where(self.keys[at] == hashes, self.weights[at], 0.0)
 
 
-def _counts(flat: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, person: np.ndarray) -> np.ndarray:
-    """Sums over each row (and, last, a maximum), from which features follow."""
+def _along(row: np.ndarray, hit: np.ndarray, you: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row: hits with a second person near, and the most hits in a window of words."""
+    run = np.concatenate([[0], np.cumsum(you)])
+    begin, end = np.searchsorted(row, row, "left"), np.searchsorted(row, row, "right")
+    at = np.arange(len(row))
+    close = run[np.minimum(end, at + NEAR + 1)] > run[np.maximum(begin, at - NEAR)]
+    hits = np.concatenate([[0], np.cumsum(hit)])
+    peak = np.zeros(rows)
+    np.maximum.at(peak, row, hits[np.minimum(end, at + WINDOW)] - hits[at])
+    return np.bincount(row, hit & close, rows), peak
+
+
+def _counts(flat: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, person: np.ndarray,
+            later: list | None = None) -> np.ndarray:
+    """Sums over each row (and, last, a maximum), from which features follow.
+
+    For a piece of one long row, what depends on other pieces is left at 0 and what it follows
+    from goes to ``later``: hits and second persons in the order of the words, and words hit.
+    """
     rows = len(offsets) - 1
     t = _Terms(flat, offsets)
     words, stems = lexicon.find(t.word), lexicon.find(t.stem)
@@ -110,18 +121,15 @@ def _counts(flat: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, person: np.
         return np.bincount(t.row, x, rows)
 
     you = np.isin(t.word, person)
-    run = np.concatenate([[0], np.cumsum(you)])
-    begin, end = np.searchsorted(t.row, t.row, "left"), np.searchsorted(t.row, t.row, "right")
-    at = np.arange(n)
-    close = run[np.minimum(end, at + NEAR + 1)] > run[np.maximum(begin, at - NEAR)]
-    hits = np.concatenate([[0], np.cumsum(hit)])
-    ahead = hits[np.minimum(end, at + WINDOW)] - hits[at]
-    peak = np.zeros(rows)
-    np.maximum.at(peak, t.row, ahead)
-    order = np.lexsort((t.word, t.row))
-    order = order[hit[order]]
-    new = np.append(True, (np.diff(t.row[order]) != 0) | (np.diff(t.word[order]) != 0)) if len(order) else np.zeros(0, bool)
-    different = np.bincount(t.row[order][new], minlength=rows)
+    different = near = peak = np.zeros(rows)
+    if later is None:
+        near, peak = _along(t.row, hit, you, rows)
+        order = np.lexsort((t.word, t.row))
+        order = order[hit[order]]
+        new = np.append(True, (np.diff(t.row[order]) != 0) | (np.diff(t.word[order]) != 0)) if len(order) else np.zeros(0, bool)
+        different = np.bincount(t.row[order][new], minlength=rows)
+    else:
+        later.append((hit, you, np.unique(t.word[hit])))
 
     upper = (flat >= 65) & (flat <= 90)
     caps = np.concatenate([[0], np.cumsum(upper)])
@@ -136,15 +144,14 @@ def _counts(flat: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, person: np.
     keep = (looks[e] > looks[s]) & (letters[e] - letters[s] >= 2)
     s, e = s[keep], e[keep]
     odd_row = np.searchsorted(offsets, s, "right") - 1
-    plain = S.prefix_hash(_PLAIN[flat])
-    odd_hit = lexicon.find(_hash(plain, s, e)) > 0
+    odd_hit = lexicon.find(S.word_hash(_PLAIN[flat], s, e)) > 0
 
     def bytes_of(mask):
         run = np.concatenate([[0], np.cumsum(mask)])
         return run[offsets[1:]] - run[offsets[:-1]]
 
     return np.stack([
-        total(np.ones(n)), total(weight >= 5), total(hit & (weight < 5)), different, total(you), total(hit & close),
+        total(np.ones(n)), total(weight >= 5), total(hit & (weight < 5)), different, total(you), near,
         total(shout), np.bincount(odd_row, minlength=rows), np.bincount(odd_row, odd_hit, rows), total(stems > 0), total(weight),
         bytes_of(upper), bytes_of(flat == 33), bytes_of(flat == 63), bytes_of((flat > 32) & (flat < 48)),
         np.diff(offsets), peak], axis=1)
@@ -160,15 +167,19 @@ def _features(c: np.ndarray) -> np.ndarray:
 
 
 def text_features(column: pa.Array, lexicon: Lexicon) -> np.ndarray:
-    """Features of each text; a text longer than some megabytes is counted piece by piece."""
+    """Features of each text; one longer than some megabytes is read in pieces, with the features
+    of the whole."""
     flat, offsets = text_bytes(column)
     person = np.sort(_word_hashes(SECOND_PERSON))
     out = [np.zeros((0, len(NAMES)))]
     for low, high in slices(offsets):
         part = flat[offsets[low]:offsets[high]]
         if high == low + 1 and len(part) > S.CHUNK:
-            each = np.concatenate([_counts(p, np.array([0, len(p)]), lexicon, person) for p in S.pieces(part)])
-            c = np.append(each[:, :-1].sum(0), each[:, -1].max())[None]
+            later: list = []
+            c = sum(_counts(p, np.array([0, len(p)]), lexicon, person, later) for p in S.pieces(part))
+            hit, you, hashes = (np.concatenate(x) for x in zip(*later, strict=True))
+            c[0, 3] = len(np.unique(hashes))
+            c[:, 5], c[:, 16] = _along(np.zeros(len(hit), np.int64), hit, you, 1)
         else:
             c = _counts(part, offsets[low:high + 1] - offsets[low], lexicon, person)
         out.append(_features(c))
