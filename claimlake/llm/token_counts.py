@@ -3,14 +3,20 @@
 Each document keeps a tree over its pre-tokens: leaves are runs of pre-tokens with their lengths
 and token counts, inner nodes are sums. An edit re-encodes only the region it touches: from a
 few pre-tokens before it until the new pre-tokens fall in step with the old ones behind it.
-Counts and lengths of the touched leaves change, and sums on the path to the root.
+Counts and lengths of the touched leaves change, and sums on the path to the root. A list of
+edits is applied in one pass over the leaves.
+
+``token_trees`` makes the trees of documents, a table with their leaves, and ``edit_trees`` takes
+such a table and new edits: later edits encode nothing but what they touch.
 """
 
 from __future__ import annotations
 
 import base64
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -139,6 +145,65 @@ class TokenTree:
         self._splice(leaf, inside, old_leaf, old_inside, [len(p) for p in pieces], [counter.count(p) for p in pieces])
         return changed, len(pieces)
 
+    def apply(self, text: str, edits: list[tuple[int, int, str]], counter: Counter) -> tuple[str, int]:
+        """Replace the stretches text[start:end] of a list, ascending and apart: the new text, and
+        the pre-tokens encoded anew. Leaves between the touched regions are taken over as they are."""
+        if not edits:
+            return text, 0
+        parts, last = [], 0
+        for start, end, new in edits:
+            parts += [text[last:start], new]
+            last = end
+        changed = "".join([*parts, text[last:]])
+        begins = [0, *accumulate(sum(a) for a, _ in self.leaves)]
+        out = _Leaves(self.leaves)
+        leaf, inside, old, shift, again, i = 0, 0, 0, 0, 0, 0
+        while i < len(edits):
+            start, end, new = edits[i]
+            i += 1
+            before = max(0, start - 1)
+            at_leaf = max(leaf, min(bisect_right(begins, before) - 1, len(self.leaves) - 1)) if self.leaves else 0
+            at_inside, begin = (inside, old) if at_leaf == leaf else (0, begins[at_leaf])
+            lengths = self.leaves[at_leaf][0] if self.leaves and at_leaf < len(self.leaves) else []
+            while at_inside < len(lengths) - 1 and begin + lengths[at_inside] <= before:
+                begin += lengths[at_inside]
+                at_inside += 1
+            for _ in range(CONTEXT):
+                if (at_leaf, at_inside) <= (leaf, inside):
+                    break
+                if at_inside == 0:
+                    at_leaf, at_inside = at_leaf - 1, len(self.leaves[at_leaf - 1][0])
+                at_inside -= 1
+                begin -= self.leaves[at_leaf][0][at_inside]
+            out.take((leaf, inside), (at_leaf, at_inside))
+            leaf, inside, old, at = at_leaf, at_inside, begin, begin + shift
+            edge, shift = start + shift + len(new), shift + len(new) - (end - start)
+            while True:
+                if at >= edge:
+                    if i < len(edits) and edits[i][0] <= at - shift:  # the next edit is reached, too
+                        start, end, new = edits[i]
+                        i += 1
+                        edge, shift = start + shift + len(new), shift + len(new) - (end - start)
+                        continue
+                    while old < at - shift and leaf < len(self.leaves):
+                        old += self.leaves[leaf][0][inside]
+                        inside += 1
+                        if inside == len(self.leaves[leaf][0]):
+                            leaf, inside = leaf + 1, 0
+                    if old == at - shift or at == len(changed):
+                        break
+                piece = counter.pattern.match(changed, at).group()
+                out.add(len(piece), counter.count(piece))
+                again += 1
+                at += len(piece)
+            if at == len(changed):
+                leaf, inside = len(self.leaves), 0
+                old = len(text)
+        out.take((leaf, inside), (len(self.leaves), 0))
+        self.leaves = out.done()
+        self._grow()
+        return changed, again
+
     def _splice(self, leaf: int, inside: int, to_leaf: int, to_inside: int, lengths: list[int], counts: list[int]) -> None:
         if not self.leaves:
             self.leaves = [(lengths[i:i + LEAF], counts[i:i + LEAF]) for i in range(0, len(lengths), LEAF)]
@@ -156,6 +221,60 @@ class TokenTree:
         return self._grow()
 
 
+class _Leaves:
+    """Leaves put together from runs of old ones and new pre-tokens."""
+
+    def __init__(self, old: list[tuple[list[int], list[int]]]):
+        self.old, self.out = old, []
+        self.open: tuple[list[int], list[int]] = ([], [])
+
+    def add(self, length: int, count: int) -> None:
+        self.open[0].append(length)
+        self.open[1].append(count)
+
+    def take(self, start: tuple[int, int], end: tuple[int, int]) -> None:
+        """Old pre-tokens from one place to another; whole leaves stay as they are."""
+        (leaf, inside), (to_leaf, to_inside) = start, end
+        while leaf < to_leaf:
+            if inside == 0 and not self.open[0]:
+                self.out.append(self.old[leaf])
+            else:
+                self._extend(leaf, inside, None)
+                self._close()
+            leaf, inside = leaf + 1, 0
+        if inside < to_inside:
+            self._extend(leaf, inside, to_inside)
+
+    def _extend(self, leaf: int, inside: int, end: int | None) -> None:
+        for mine, theirs in zip(self.open, self.old[leaf], strict=True):
+            mine.extend(theirs[inside:end])
+
+    def _close(self) -> None:
+        lengths, counts = self.open
+        size = len(lengths) if len(lengths) <= 2 * LEAF else LEAF
+        self.out += [(lengths[i:i + size], counts[i:i + size]) for i in range(0, len(lengths), max(1, size))]
+        self.open = ([], [])
+
+    def done(self) -> list[tuple[list[int], list[int]]]:
+        self._close()
+        return self.out
+
+
+def _edit(tree: TokenTree, text: str, todo: list, counter: Counter) -> tuple[str, int]:
+    """Apply edits of the text as it is, cut to it; those that overlap or are out of order one by
+    one from the last to the first."""
+    cut = [(min(max(0, e["start"]), len(text)), e["end"], e["new"] or "") for e in todo]
+    cut = [(start, min(max(start, end), len(text)), new) for start, end, new in cut]
+    if all(a[1] <= b[0] for a, b in zip(cut, cut[1:], strict=False)):
+        return tree.apply(text, cut, counter)
+    again = 0
+    for e in reversed(todo):
+        start = min(max(0, e["start"]), len(text))
+        text, n = tree.edit(text, start, min(max(start, e["end"]), len(text)), e["new"] or "", counter)
+        again += n
+    return text, again
+
+
 def read_vocabulary(spark: SparkSession, path: str) -> bytes:
     """A file of base64 byte strings and ranks, read on the driver: a vocabulary, not data."""
     with open(path, "rb") as file:
@@ -168,8 +287,8 @@ def edited_counts(docs: DataFrame, vocabulary: bytes, edits: Column, id_col: str
     before the edits), n_reencoded, n_chars_after and tree_sums (the tree's token sums, root last).
 
     ``edits`` is an array of (start, end, new) in code points of the text before any edit,
-    ascending and apart; they are applied from the last to the first. An edit outside the text
-    is cut to it. Token counts follow the byte-level vocabulary without special tokens.
+    ascending and apart; others are applied one by one from the last to the first. An edit outside
+    the text is cut to it. Token counts follow the byte-level vocabulary without special tokens.
 
     Null and empty texts have no tokens; edits may insert into them at 0. A null list of edits
     is empty, null edits are skipped, and a null replacement is empty. Rows that repeat an id are
@@ -187,11 +306,7 @@ def edited_counts(docs: DataFrame, vocabulary: bytes, edits: Column, id_col: str
                 tree = TokenTree.of(text, counter)
                 out["n_tokens"].append(tree.tokens)
                 out["n_pieces"].append(sum(len(a) for a, _ in tree.leaves))
-                again = 0
-                for e in reversed(todo):
-                    start = min(max(0, e["start"]), len(text))
-                    text, n = tree.edit(text, start, min(max(start, e["end"]), len(text)), e["new"] or "", counter)
-                    again += n
+                text, again = _edit(tree, text, todo, counter)
                 out["n_edits"].append(len(todo))
                 out["n_tokens_after"].append(tree.tokens)
                 out["n_reencoded"].append(again)
@@ -209,17 +324,79 @@ def edited_counts(docs: DataFrame, vocabulary: bytes, edits: Column, id_col: str
              "n_chars_after long, tree_sums array<long>").withColumnRenamed("_id", id_col)
 
 
+_TREE = "_text string, n_tokens long, lengths array<array<int>>, counts array<array<int>>"
+
+
+def _tree_rows(out: dict[str, list], text: str, tree: TokenTree) -> None:
+    out["_text"].append(text)
+    out["n_tokens"].append(tree.tokens)
+    out["lengths"].append([a for a, _ in tree.leaves])
+    out["counts"].append([b for _, b in tree.leaves])
+
+
+def _tree_batch(ids: pa.Array, out: dict[str, list]) -> pa.RecordBatch:
+    runs = pa.list_(pa.list_(pa.int32()))
+    kinds = {"_text": pa.string(), "lengths": runs, "counts": runs}
+    return pa.RecordBatch.from_arrays([ids, *(pa.array(v, kinds.get(c, pa.int64())) for c, v in out.items())], ["_id", *out])
+
+
+def token_trees(docs: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The tree of each document: ``id_col``, ``text_col``, n_tokens, and the lengths and counts of
+    its pre-tokens by leaf. Null texts count as empty and have no leaves; rows stay one by one."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _counter(shared.value)
+        for batch in batches:
+            out: dict[str, list] = {c: [] for c in ("_text", "n_tokens", "lengths", "counts")}
+            for text in batch.column("_text").to_pylist():
+                _tree_rows(out, text or "", TokenTree.of(text or "", counter))
+            yield _tree_batch(batch.column("_id"), out)
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    return rows.mapInArrow(run, f"_id {kind}, {_TREE}").withColumnsRenamed({"_id": id_col, "_text": text_col})
+
+
+def edit_trees(trees: DataFrame, vocabulary: bytes, edits: Column, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """Kept trees after edits: the columns of ``token_trees`` for the new texts, and n_reencoded.
+
+    ``edits`` are as for ``edited_counts``, of the texts that the trees hold. Only the regions
+    they touch are encoded.
+    """
+    shared = trees.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _counter(shared.value)
+        for batch in batches:
+            out: dict[str, list] = {c: [] for c in ("_text", "n_tokens", "lengths", "counts", "n_reencoded")}
+            for row in batch.select(["_text", "lengths", "counts", "_edits"]).to_pylist():
+                tree = TokenTree(list(zip(row["lengths"], row["counts"], strict=True)))
+                todo = [e for e in row["_edits"] or [] if e is not None]
+                text, again = _edit(tree, row["_text"], todo, counter)
+                _tree_rows(out, text, tree)
+                out["n_reencoded"].append(again)
+            yield _tree_batch(batch.column("_id"), out)
+
+    kind = trees.schema[id_col].dataType.simpleString()
+    rows = trees.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), "lengths", "counts",
+                        edits.cast("array<struct<start:int,end:int,new:string>>").alias("_edits"))
+    return rows.mapInArrow(run, f"_id {kind}, {_TREE}, n_reencoded long").withColumnsRenamed({"_id": id_col, "_text": text_col})
+
+
 def redactions(text: Column, pattern: str, new: str) -> Column:
-    """Edits that replace every match of a pattern: (start, end, new), in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,new:string>>").alias("edits"))
-
-    def step(acc: Column, pair: Column) -> Column:
-        at = acc["at"] + F.char_length(pair["gap"])
-        end = at + F.char_length(pair["match"])
-        one = F.array(F.struct(at.alias("start"), end.alias("end"), F.lit(new).alias("new")))
-        return F.struct(end.alias("at"), F.concat(acc["edits"], one).alias("edits"))
-
-    pairs = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(g.alias("gap"), m.alias("match")))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda acc: acc["edits"]))
+    """Edits that replace every match of a pattern: (start, end, new), in code points; NULL where
+    there is none. Takes the time of one search of the text, however many matches there are."""
+    wanted = regex.compile(pattern)
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("new", pa.string())]))
+
+    @F.arrow_udf("array<struct<start:int,end:int,new:string>>")
+    def find(column: pa.Array) -> pa.Array:
+        out = []
+        for value in column:
+            found = [{"start": m.start(), "end": m.end(), "new": new} for m in wanted.finditer(value.as_py() or "")]
+            out.append(found or None)
+        return pa.array(out, kind)
+
+    return find(text)

@@ -7,7 +7,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from claimlake.llm.token_counts import LEAF, TokenTree, _counter, edited_counts, read_vocabulary, redactions
+from claimlake.llm.token_counts import (
+    LEAF, TokenTree, _counter, edit_trees, edited_counts, read_vocabulary, redactions, token_trees,
+)
 
 VOCABULARY = os.environ.get("VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 pytestmark = pytest.mark.skipif(not os.path.exists(VOCABULARY), reason="no vocabulary")
@@ -72,3 +74,68 @@ def test_odd_edits(spark, counter):
     got = {r.doc_id: r for r in edited_counts(docs, read_vocabulary(spark, VOCABULARY), edits).collect()}
     assert got[1].n_tokens_after == whole("x ab", counter)
     assert got[2].n_tokens_after == whole("x ", counter)
+
+
+def spread(text, cuts):
+    """Ascending edits that do not meet, from (gap, width, new) triples."""
+    out, at = [], 0
+    for gap, width, new in cuts:
+        start = min(len(text), at + gap)
+        at = min(len(text), start + width)
+        out.append((start, at, new))
+    return out
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXT, st.lists(st.tuples(st.integers(0, 40), st.integers(0, 12), TEXT), max_size=8), st.integers(1, 5))
+def test_lists_of_edits_equal_encoding_the_whole(text, cuts, copies):
+    counter = _counter(read_vocabulary(None, VOCABULARY))
+    text = text * copies
+    tree = TokenTree.of(text, counter)
+    for _ in range(2):  # trees are kept, and edited again
+        edits = spread(text, cuts)
+        want = text
+        for start, end, new in reversed(edits):
+            want = want[:start] + new + want[end:]
+        text, _ = tree.apply(text, edits, counter)
+        assert text == want
+        assert [n for a, _ in tree.leaves for n in a] == [len(p) for p in counter.pieces(text)]
+        assert (tree.tokens, tree.length) == (whole(text, counter), len(text))
+        assert tree.levels[0] == ([(sum(a), sum(b)) for a, b in tree.leaves] or [(0, 0)])
+
+
+def test_long_lists_of_edits_take_linear_time(spark, counter):
+    import time
+
+    mail, took = r"[a-z0-9.]+@[a-z0-9.]+", []
+    for n in (4_000, 64_000):
+        text = " ".join(f"word p{i}@q.net" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        got = edited_counts(docs, read_vocabulary(spark, VOCABULARY), redactions(F.col("text"), mail, "<mail>")).first()
+        took.append(time.perf_counter() - start)
+        assert got.n_edits == n and got.n_tokens_after == whole(" ".join(["word <mail>"] * n), counter)
+    assert took[1] < 20 * took[0] + 10
+
+
+def test_kept_trees_encode_only_what_later_edits_touch(spark, counter):
+    vocabulary = read_vocabulary(spark, VOCABULARY)
+    rows = [(1, " word and another." * 2000), (1, "short"), (None, None), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lengths", F.lit(1))
+    trees = token_trees(docs, vocabulary)
+    assert sorted(r.n_tokens for r in trees.collect()) == sorted(whole(t or "", counter) for _, t in rows)
+
+    def edit(start, end, new):
+        return F.array(F.struct(F.lit(start).alias("start"), F.lit(end).alias("end"), F.lit(new).alias("new")))
+
+    once = edit_trees(trees, vocabulary, edit(9_000, 9_010, "something else"))
+    twice = edit_trees(once, vocabulary, edit(2, 3, "é漢"))
+    for frame in (once, twice):
+        for r in frame.collect():
+            assert r.n_tokens == whole(r.text, counter) and r.n_reencoded < 20
+            assert sum(map(sum, r.lengths)) == len(r.text) and sum(map(sum, r.counts)) == r.n_tokens
+    texts = sorted(r.text for r in twice.collect())
+    long = rows[0][1][:9_000] + "something else" + rows[0][1][9_010:]
+    short = "short" + "something else"  # an edit past the end is cut to the text
+    want = sorted(t[:2] + "é漢" + t[3:] for t in (long, short, "something else", "something else"))
+    assert texts == want
