@@ -1,12 +1,13 @@
 """Exact top-k search by the three-phase uniform threshold.
 
 The dimensions of the vectors are cut into lists; a score is the sum of a row's entries in the
-lists. Phase 1 takes the best entries of every list, block by block of rows, resolves them, and
-so finds a score that each query's k best rows reach at least. Phase 2 broadcasts that cutoff
-with the block of queries: a row that reaches it has an entry of at least the cutoff over the
-number of lists in some list, so all other entries stay where they are. Phase 3 resolves the
-remaining rows exactly where their bound allows it. Blocks of rows meet blocks of queries in
-tasks of bounded size. Equal vectors are one row with its least ids, so ties cost nothing.
+lists. Phase 1 takes the best entries of every list in a share of the blocks of rows, resolves
+them, and so finds a score that each query's k best rows reach at least. Phase 2 sends that
+cutoff with the block of queries: a row that reaches it has an entry of at least the cutoff over
+the number of lists in some list, and its entries so far and its length in the lists to come
+reach it. List by list, rows and pairs that do not are left out, and phase 3 multiplies out the
+remaining lists of the remaining pairs only. Blocks of rows meet blocks of queries in tasks of
+bounded size. Equal vectors are one row with its least ids, so ties cost nothing.
 """
 
 from __future__ import annotations
@@ -19,7 +20,10 @@ from pyspark.sql.window import Window
 
 from claimlake.llm.common import stage
 
-ROWS, QUERIES, LISTS = 4096, 1024, 4
+ROWS, QUERIES, LISTS = 4096, 1024, 8
+#: One block in how many gives the first cutoff; the share of pairs from which on they are resolved
+#: one by one, and pairs multiplied at once.
+SEED_SHARE, FEW, PAIRS = 16, 0.2, 1 << 16
 
 
 def quantised(vector: Column, factor: int = 256) -> Column:
@@ -94,24 +98,71 @@ def _distinct(seen: np.ndarray, scores: np.ndarray, keep: int):
     return np.array(query, np.int64), np.array(row, np.int64), np.array(score, np.int64)
 
 
+def _norms(rows: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
+    """Length of each row in each list."""
+    return np.stack([np.sqrt((rows[:, p].astype(float) ** 2).sum(axis=1)) for p in parts], axis=1)
+
+
+def resolve(rows: np.ndarray, queries: np.ndarray, cut: np.ndarray, lists: int):
+    """Queries and rows whose score reaches the query's cutoff, the scores, and how many entries
+    (a pair in a list) were multiplied out.
+
+    A row that is too short in all lists for every query is not multiplied. The others are taken
+    list by list: after each, a pair goes if its entries so far and the lengths in the lists to
+    come cannot reach the cutoff, or if no entry reaches the uniform threshold (the cutoff over
+    the number of lists) and none to come can. Once few pairs are left, only those are resolved.
+    """
+    width = min(rows.shape[1], queries.shape[1])
+    parts = [p for p in np.array_split(np.arange(width), lists) if len(p)] or [np.arange(0)]
+    x_norm, y_norm = _norms(rows, parts), _norms(queries, parts)
+    reach = (x_norm @ y_norm.max(axis=0, initial=0.0)) * (1 + 1e-9) + 1
+    live = np.flatnonzero(reach >= cut.min(initial=0))
+    x, x_norm, spent = rows[live], x_norm[live], 0
+    share = np.floor_divide(cut, len(parts))[:, None]
+    score = np.zeros((len(queries), len(live)), np.int64)
+    able, above, j = np.ones(score.shape, bool), np.zeros(score.shape, bool), 0
+
+    def to_come(j: int) -> np.ndarray:
+        """Most that the lists from j on can add (Cauchy-Schwarz)."""
+        tails = (np.sqrt((n[:, j:] ** 2).sum(axis=1)) for n in (y_norm, x_norm))
+        y_tail, x_tail = tails
+        return (y_tail[:, None] * x_tail) * (1 + 1e-9) + (1 if j < len(parts) else 0)
+
+    while j < len(parts) and able.size and able.mean() > FEW:
+        part = parts[j]
+        peak = float(np.abs(x[:, part]).max(initial=0)) * float(np.abs(queries[:, part]).max(initial=0)) * len(part)
+        kind = np.float32 if peak < 2**24 else np.float64 if peak < 2**53 else np.int64
+        entry = (queries[:, part].astype(kind) @ x[:, part].astype(kind).T).astype(np.int64)
+        spent += entry.size
+        score += entry
+        above |= entry >= share
+        j += 1
+        able = score + to_come(j) >= cut[:, None]
+        later = np.zeros(able.shape, bool)
+        for k in range(j, len(parts)):
+            later |= (y_norm[:, k, None] * x_norm[:, k]) * (1 + 1e-9) + 1 >= share
+        able &= above | later
+    query, row = np.nonzero(able)
+    total = score[query, row]
+    for part in parts[j:]:
+        for low in range(0, len(query), PAIRS):
+            at = slice(low, low + PAIRS)
+            total[at] += (queries[query[at]][:, part].astype(np.int64) * x[row[at]][:, part]).sum(axis=1)
+        spent += len(query)
+    good = total >= cut[query]
+    return query[good], live[row[good]], total[good], spent
+
+
 def _resolved(lists: int):
-    """Phases 2 and 3: rows with an entry above the uniform threshold, pruned and resolved."""
+    """Phases 2 and 3: rows that can reach the cutoff, resolved."""
 
     def run(table: pa.Table) -> pa.Table:
-        entries = _list_scores(_cells(table, ""), _cells(table, "q_"), lists)
-        low = np.iinfo(np.int64).min // 8
-        cut = np.full(len(entries[0]), low)
+        rows, queries = _cells(table, ""), _cells(table, "q_")
+        cut = np.full(len(queries), np.iinfo(np.int64).min // 8)
         for c in table.column("cuts")[0].as_py() or []:
             if c["cut"] is not None:
                 cut[c["place"]] = c["cut"]
-        share = np.floor_divide(cut, lists)[:, None]
-        above = [e >= share for e in entries]
-        query, row = np.nonzero(np.logical_or.reduce(above))
-        bound = sum(np.where(a[query, row], e[query, row], share[query, 0] + 1) for a, e in zip(above, entries, strict=True))
-        query, row = query[bound >= cut[query]], row[bound >= cut[query]]
-        score = sum(e[query, row] for e in entries)
-        good = score >= cut[query]
-        return _result(table, query[good], row[good], score[good])
+        return _result(table, *resolve(rows, queries, cut, lists)[:3])
 
     return run
 
@@ -171,7 +222,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
     every = F.sequence(F.lit(0).cast("long"), F.lit(max(1, -(-n_asked // block_queries)) - 1).cast("long"))
     dealt = sides.withColumn("at", F.explode(every))
 
-    found = dealt.join(asking, dealt.at == asking.q_block).groupBy("block", "q_block").applyInArrow(
+    seeds = dealt.where(F.col("block") % SEED_SHARE == 0)
+    found = seeds.join(asking, F.col("at") == F.col("q_block")).groupBy("block", "q_block").applyInArrow(
         _local_lists(k + 1, lists), _FOUND)
     cut = _ranked(found, k).groupBy("q_block", "place").agg(
         F.when(F.count("*") == k, F.min("score")).alias("cut"))

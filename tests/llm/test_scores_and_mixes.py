@@ -13,7 +13,7 @@ from claimlake.llm.mixing import mix_sources
 from claimlake.llm.quality import fit_quality, score_quality
 from claimlake.llm.secrets import KINDS, SCOPE, find_secrets
 from claimlake.llm.sharding import shuffle_shards, write_shards
-from claimlake.llm.topk import top_k
+from claimlake.llm.topk import resolve, top_k
 from claimlake.llm.toxicity import score_toxicity
 
 from .conftest import prose
@@ -213,3 +213,22 @@ def test_top_k_of_few(spark):
     got = top_k(vectors, F.col("vec_id") % 50 == 0).collect()
     assert sorted(tuple(r) for r in got) == [(0, 1, 1, 32768), (0, 2, 2, -65536)]
     assert top_k(vectors.limit(0), F.col("vec_id") % 50 == 0).collect() == []
+
+
+@pytest.mark.parametrize("kind,most", [("alike", 0.9), ("skewed", 0.25), ("short", 1.0)])
+def test_most_entries_are_spared(kind, most):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((3000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if kind == "skewed":
+        x *= rng.pareto(1.5, 3000)[:, None] + 0.01
+    x, y = np.floor(256 * x).astype(np.int64), np.floor(256 * x[:40]).astype(np.int64)
+    score = y @ x.T
+    if kind == "short":  # no cutoff is known
+        cut = np.full(40, np.iinfo(np.int64).min // 8)
+    else:
+        cut = np.sort(score, axis=1)[:, -6]
+    query, row, found, spent = resolve(x, y, cut, 8)
+    want = np.nonzero(score >= cut[:, None])
+    assert sorted(zip(query, row)) == sorted(zip(*want)) and (found == score[query, row]).all()
+    assert spent <= most * score.size * 8
