@@ -193,27 +193,75 @@ def numeric_profile(df: DataFrame, columns: Iterable[str] | None = None) -> Data
     )
 
 
+# Hash buckets that the values of a column are counted in, and those looked into first.
+VALUE_BUCKETS, FIRST_BUCKETS = 1 << 14, 64
+
+
+def _ranked_values(counts: DataFrame, n: int) -> DataFrame:
+    """The ``n`` most common values per column, ties in value order. Only ``n`` rows per column
+    leave each task: the planner limits the groups before the shuffle."""
+    place = F.row_number().over(
+        Window.partitionBy("column_name").orderBy(F.desc("n"), "value")
+    )
+    return (
+        counts.filter(F.col("value").isNotNull())
+        .withColumn("place", place)
+        .filter(F.col("place") <= n)
+        .select("column_name", "place", "value", "n")
+    )
+
+
+def _heavy_buckets(text: DataFrame) -> tuple[dict[str, list[int]], dict[str, int]]:
+    """Per column the fullest hash buckets of its values, and the most rows of any other bucket,
+    which no value outside the fullest ones can exceed. At most ``FIRST_BUCKETS`` + 1 rows a
+    column reach the driver."""
+    loads = text.groupBy("column_name", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("column_name").orderBy(F.desc("n"), "bucket"))
+    found = loads.withColumn("place", place).filter(F.col("place") <= FIRST_BUCKETS + 1).collect()
+    inside: dict[str, list[int]] = {}
+    rest: dict[str, int] = {}
+    for r in found:
+        if r["place"] <= FIRST_BUCKETS:
+            inside.setdefault(r["column_name"], []).append(r["bucket"])
+        else:
+            rest[r["column_name"]] = r["n"]
+    return inside, rest
+
+
 def most_common(
     df: DataFrame, columns: Iterable[str] | None = None, n: int = MOST_COMMON,
     exclude: Iterable[str] = (),
 ) -> DataFrame:
     """The ``n`` most common values per column, ties in value order.
 
-    Columns in ``exclude`` are left out, whatever their case. Only ``n`` rows per column leave each task: the
-    planner limits the groups before the shuffle.
+    Columns in ``exclude`` are left out, whatever their case. The values are counted by hash bucket
+    first and one by one in the fullest buckets only; both passes run when the function is called.
+    Where the n-th best of those does not exceed every other bucket, as in a flat column, all
+    values of the column are counted.
     """
     wanted = string_columns(df) if columns is None else list(columns)
     left_out = {c.lower() for c in exclude}
     wanted = [c for c in wanted if c.lower() not in left_out]
-    place = F.row_number().over(
-        Window.partitionBy("column_name").orderBy(F.desc("n"), "value")
-    )
-    return (
-        value_counts(df, wanted).filter(F.col("value").isNotNull())
-        .withColumn("place", place)
-        .filter(F.col("place") <= n)
-        .select("column_name", "place", "value", "n")
-    )
+    schema = "column_name string, place int, value string, n bigint"
+    if not wanted:
+        return df.sparkSession.createDataFrame([], schema)
+    text = _as_text(df, wanted).filter(F.col("value").isNotNull()).withColumn(
+        "bucket", F.pmod(F.xxhash64("value"), F.lit(VALUE_BUCKETS)).cast("int"))
+    inside, rest = _heavy_buckets(text)
+    if not inside:
+        return df.sparkSession.createDataFrame([], schema)
+    full = reduce(lambda x, y: x | y, [
+        (F.col("column_name") == c) & F.col("bucket").isin(buckets) for c, buckets in inside.items()])
+    counts = text.filter(full).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    best: dict[str, list[tuple]] = {}
+    for r in _ranked_values(counts, n).collect():  # at most n rows a column
+        best.setdefault(r["column_name"], []).append(tuple(r))
+    decided = [c for c in inside if c not in rest or (len(best[c]) == n and min(r[3] for r in best[c]) > rest[c])]
+    out = df.sparkSession.createDataFrame([r for c in decided for r in best[c]], schema)
+    open_ = [c for c in wanted if c in inside and c not in decided]
+    if open_:
+        out = out.unionByName(_ranked_values(value_counts(df, open_), n))
+    return out
 
 
 def string_lengths(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

@@ -101,9 +101,10 @@ def test_newest_denial_is_combined_before_the_shuffle(spark, tables):
 
 
 def test_common_values_are_limited_before_the_shuffle(spark, tables):
-    from claimlake.operators.profiling import most_common
+    from claimlake.operators.profiling import _ranked_values, value_counts
 
-    assert "WindowGroupLimit" in plan(most_common(tables["doctors"]))
+    counts = value_counts(tables["doctors"], ["doctor_name"])
+    assert "WindowGroupLimit" in plan(_ranked_values(counts, 5))
 
 
 def test_claims_are_shuffled_once_for_totals(spark, tables, tmp_path):

@@ -258,9 +258,14 @@ def test_instants_of_a_repeated_hour_are_two_values(spark):
 
 
 def test_quantiles_of_a_column_shuffle_no_values(spark):
-    from claimlake.operators.quantiles import exact_quantiles
+    from claimlake.operators import quantiles
 
     df = spark.range(1000).select((F.col("id") / 7).alias("v"))
-    plan = exact_quantiles(df, ["v"], {"m": 0.5})._jdf.queryExecution().optimizedPlan().toString()
+    # the second pass sends on the values inside the bracket only
+    big = spark.range(100_000).select((F.col("id") / 7).alias("v"), F.lit(0).alias("w"))
+    ranks = quantiles.bracket_ranks(big, ["v"], {"m": 0.5})
+    inside = quantiles._inside(big, ["v"], [(0, *ranks["ends0"])])
+    assert 1 < inside.count() < 100_000 * 10 / quantiles.ACCURACY
+    plan = quantiles._located_quantiles(df, ["v"], {"m": 0.5}, [])._jdf.queryExecution().optimizedPlan().toString()
     first = [line for line in plan.splitlines() if "Aggregate [column_name" in line]
     assert first and all("d1" in line or "name" in line for line in first)
