@@ -21,10 +21,13 @@ SLICE_BYTES = 1 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, named in ``spark.checkpoint.dir``.
 
-    Only where the session names none, as in tests, a local folder is used.
+    Only where a local session names none, as in tests, a local folder is used: executors on other
+    machines would not see it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = f"file://{tempfile.gettempdir()}/claimlake-shared"
     return folder.rstrip("/")
 
