@@ -385,7 +385,7 @@ def edit_trees(trees: DataFrame, vocabulary: bytes, edits: Column, id_col: str =
     return rows.mapInArrow(run, f"_id {kind}, {_TREE}, n_reencoded long").withColumnsRenamed({"_id": id_col, "_text": text_col})
 
 
-def redactions(text: Column, pattern: str, new: str) -> Column:
+def searched_redactions(text: Column, pattern: str, new: str) -> Column:
     """Edits that replace every match of a pattern: (start, end, new), in code points; NULL where
     there is none. Takes the time of one search of the text, however many matches there are."""
     wanted = regex.compile(pattern)
@@ -400,3 +400,20 @@ def redactions(text: Column, pattern: str, new: str) -> Column:
         return pa.array(out, kind)
 
     return find(text)
+
+
+def redactions(text: Column, pattern: str, new: str) -> Column:
+    """Edits that replace every match of a pattern: (start, end, new), in code points, without Python
+    workers. For texts with thousands of matches ``searched_redactions`` is the faster one."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,new:string>>").alias("edits"))
+
+    def step(acc: Column, pair: Column) -> Column:
+        at = acc["at"] + F.char_length(pair["gap"])
+        end = at + F.char_length(pair["match"])
+        one = F.array(F.struct(at.alias("start"), end.alias("end"), F.lit(new).alias("new")))
+        return F.struct(end.alias("at"), F.concat(acc["edits"], one).alias("edits"))
+
+    pairs = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(g.alias("gap"), m.alias("match")))
+    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda acc: acc["edits"]))
