@@ -350,15 +350,15 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
             _cut, "key long, rid long, start long, bytes binary")
 
     spans = [parts.where("kind = 0").select("rid", "start", "end")]
+    texts = cut(wanted)
     if large.isEmpty():
         size = wanted.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
-        texts = cut(wanted)
     else:
-        wanted = attach_small(wanted, large, "key")
-        small = wanted.where("large is null")
-        size = small.agg(F.sum(F.col("end") - F.col("start"))).first()[0] or 0
-        texts = cut(small)
-        more, split = _split(cut(wanted.where("large is not null")), length, merge_bytes)
+        # the documents are shuffled once for the stretches of all anchors, large or not
+        both = attach_small(stage(texts, "cut"), large, "key")
+        texts = both.where("large is null").drop("large")
+        size = texts.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+        more, split = _split(both.where("large is not null"), length, merge_bytes)
         spans += more
         for part in split:
             size += part.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0

@@ -169,6 +169,20 @@ def test_a_common_passage_is_split_over_merges(spark, monkeypatch):
     assert sorted(got) == sorted(brute_repeats(rows, 100))
 
 
+def test_documents_are_sent_once_for_the_stretches_of_all_anchors(spark, monkeypatch):
+    sent, kind = [], type(spark.range(0))
+    run = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, f, *a, **k: (sent.append(f), run(df, f, *a, **k))[1])
+    passage = prose(78, 50)
+    rows = [(i, prose(2000 + i, 8) + passage + prose(4000 + i // 2, 8)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [(r.doc_id, r.n_bytes, tuple((s.start, s.end) for s in r.removed), bytes(r.kept))
+           for r in remove_repeats(docs, merge_bytes=4096).collect()]
+    assert sorted(got) == sorted(brute_repeats(rows, 100))
+    assert any("_pieces" in f.__qualname__ for f in sent)  # some anchors were too large for one merge
+    assert sent.count(suffix_dedup._cut) == 1
+
+
 def test_unique_ids_need_no_numbering(spark):
     rows = [(i, prose(i % 7, 40) + prose(50 + i, 10)) for i in range(30)]
     got = [(r.doc_id, r.n_bytes, tuple((s.start, s.end) for s in r.removed), bytes(r.kept))
