@@ -25,6 +25,8 @@ from pyspark.sql.types import (
 BUCKETS = 1 << 14
 # Rows of one key that one task takes.
 HEAVY_ROWS = 1_000_000
+# Facts that may share a value of ``within`` (``attach_role``): each is compared with the pairs of all.
+TOGETHER_ROWS = 1_000
 # Dimensions up to this many bytes are broadcast.
 BROADCAST_BYTES = 64 << 20
 
@@ -279,10 +281,25 @@ def attach(
 def attach_role(
     facts: DataFrame, dim: DataFrame, dim_key: str, fact_key: str,
     labels: Mapping[str, str], size: int, broadcast_bytes: int = BROADCAST_BYTES,
+    *, within: str | None = None, slim: DataFrame | None = None,
 ) -> DataFrame:
-    """Attach ``labels`` (dimension column -> output column) through ``fact_key``."""
+    """Attach ``labels`` (dimension column -> output column) through ``fact_key``.
+
+    ``within`` names a column that no fact lacks, by which the facts lie together and which few of
+    them share: to a dimension too large to broadcast only its pairs with the key are sent, and
+    back with the labels, so that the wide rows stay where they are. The pairs are those of
+    ``slim``, the same facts before anything was joined to them.
+    """
     view = dim.select(
         F.col(dim_key).alias(fact_key),
         *[F.col(c).alias(out) for c, out in labels.items()],
     ).dropna(subset=[fact_key])
-    return attach(facts, view, fact_key, size, broadcast_bytes)
+    if within is None or size <= broadcast_bytes:
+        return attach(facts, view, fact_key, size, broadcast_bytes)
+    pairs = (facts if slim is None else slim).select(within, fact_key).dropna().distinct()
+    found = plain_join(pairs, view, [fact_key], "inner").repartition(within)
+    found = found.withColumnsRenamed({within: "_within", fact_key: "_key"})
+    # equal as two bounds: as a second join key, it would send the facts by both
+    same = (F.col(within) == F.col("_within")) & F.col(fact_key).between(F.col("_key"), F.col("_key"))
+    order = [fact_key, *(c for c in facts.columns if c != fact_key), *labels.values()]
+    return facts.join(found, same, "left").select(*order)

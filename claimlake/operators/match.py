@@ -12,7 +12,8 @@ from claimlake.functions import clean_activity_id
 from claimlake.operators.facts import ACTIVITY, latest_denial, received_dates
 from claimlake.operators.heavy import right_splits
 from claimlake.operators.joins import (
-    HEAVY_ROWS, HeavyKeys, attach, attach_role, check_dimensions, salted_join, table_bytes,
+    BROADCAST_BYTES, HEAVY_ROWS, TOGETHER_ROWS, HeavyKeys, attach, attach_role, check_dimensions, salted_join,
+    table_bytes,
 )
 from claimlake.operators.masters import (
     Tables, denial_codes, doctors_with_departments, encounter_types,
@@ -70,14 +71,20 @@ class Dimensions:
     frames: dict[str, DataFrame]
     sizes: dict[str, int]
 
-    def attach(self, facts: DataFrame, roles: Iterable[tuple]) -> DataFrame:
+    def attach(
+        self, facts: DataFrame, roles: Iterable[tuple], within: str | None = None, slim: DataFrame | None = None,
+    ) -> DataFrame:
         """Attach the labels of every role; the fact row count does not change."""
         for name, dim_key, fact_key, labels in roles:
             facts = attach_role(
-                facts, self.frames[name], dim_key, fact_key, labels, self.sizes[name]
+                facts, self.frames[name], dim_key, fact_key, labels, self.sizes[name],
+                within=within, slim=slim,
             )
         return facts
 
+    def all_broadcast(self, roles: Iterable[tuple]) -> bool:
+        return all(self.sizes[name] <= BROADCAST_BYTES for name, *_ in roles)
+
 
 def checked_dimensions(
     tables: Tables, roles: Iterable[tuple], licensed: bool = False
@@ -118,11 +125,27 @@ def written_dimensions(read: Callable[[str], DataFrame]) -> Dimensions:
     return Dimensions(frames, check_dimensions(frames, keys))
 
 
+def _few_rows(facts: DataFrame, key: str) -> bool:
+    """Whether few enough facts share a key to compare each with all of them."""
+    return facts.filter(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > TOGETHER_ROWS).isEmpty()
+
+
 def enrich_claims(
-    claims: DataFrame, tables: Tables, dims: Dimensions | None = None
+    claims: DataFrame, tables: Tables, dims: Dimensions | None = None,
+    slim: DataFrame | None = None,
 ) -> DataFrame:
-    """Prepared claims with hospital, insurer, plan, both doctors, encounter type."""
-    return (dims or claim_dimensions(tables)).attach(claims, CLAIM_ROLES)
+    """Prepared claims with hospital, insurer, plan, both doctors, encounter type.
+
+    With ``slim``, the same claims before anything was joined to them, the claims lie together by
+    ``claimid``, and are not sent to masters too large to broadcast; one job checks before that
+    no claim has too many rows for it.
+    """
+    dims = dims or claim_dimensions(tables)
+    if slim is None or dims.all_broadcast(CLAIM_ROLES) or not _few_rows(slim, "claimid"):
+        return dims.attach(claims, CLAIM_ROLES)
+    known = F.col("claimid").isNotNull()
+    labelled = dims.attach(claims.filter(known), CLAIM_ROLES, "claimid", slim)
+    return labelled.unionByName(dims.attach(claims.filter(~known), CLAIM_ROLES))
 
 
 def enrich_remittance(remittance: DataFrame, tables: Tables) -> DataFrame:

@@ -164,11 +164,15 @@ def matched_extract(
 
 # --- full run --------------------------------------------------------------------
 
-def label_facts(scored: DataFrame, open_claims: DataFrame, tables: Tables, dims: Dimensions) -> DataFrame:
-    """Scored claims and open claims with their labels, as the final dataset."""
+def label_facts(
+    scored: DataFrame, open_claims: DataFrame, tables: Tables, dims: Dimensions, slim: DataFrame | None = None,
+) -> DataFrame:
+    """Scored claims and open claims with their labels, as the final dataset.
+
+    ``slim``: the claims before their totals were joined, if they lie together by claim."""
     opened = open_claims.withColumn("encounterstart_date", F.col("encounter_start_date"))
     return final_dataset(
-        enrich_claims(scored, tables, dims), enrich_open_claims(opened, tables, dims)
+        enrich_claims(scored, tables, dims, slim), enrich_open_claims(opened, tables, dims)
     )
 
 
@@ -181,7 +185,7 @@ def score_facts(
     claims as they are stored; the labels are attached to both kinds of claim after.
     """
     scored = claims_with_payments(claims, remittance)
-    return label_facts(scored, open_claims, tables, claim_dimensions(tables))
+    return label_facts(scored, open_claims, tables, claim_dimensions(tables), slim=claims)
 
 
 def build_final_dataset(tables: Tables) -> DataFrame:

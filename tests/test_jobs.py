@@ -148,3 +148,54 @@ def test_a_doctor_with_two_licences_repeats_no_claim(spark, tables):
     doubled = {**dict(tables), "licences": more}
     claims = match.enrich_claims(facts.prepare_claims(tables["claims"]), doubled)
     assert claims.count() == tables["claims"].count()
+
+
+# --- wide rows stay where they are -------------------------------------------------
+
+def sent(df, column):
+    """Exchanges of the plan that send a column of this name."""
+    explained = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [part for part in explained.split("\n\n") if ") Exchange\n" in part and f"{column}#" in part]
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture()
+def large_masters(no_broadcast, monkeypatch):
+    check = match.check_dimensions
+    monkeypatch.setattr(match, "check_dimensions", lambda dims, keys: {
+        n: 1 << 40 if n in ("plan", "insurer") else size for n, size in check(dims, keys).items()})
+
+
+def test_totals_do_not_send_the_wide_claims(spark, tables, no_broadcast):
+    assert not sent(jobs.build_final_dataset(tables), "memberid")
+
+
+def test_labels_of_large_masters_do_not_send_the_wide_claims(spark, tables, large_masters, monkeypatch):
+    final = jobs.build_final_dataset(tables)
+    both = sent(final, "memberid")
+    assert len(both) == 2  # for both masters, those of claims without an id
+    same = sorted(map(str, final.collect()))
+    monkeypatch.setattr(match, "TOGETHER_ROWS", 2)  # as if claims had too many rows for it
+    plainly = jobs.build_final_dataset(tables)
+    assert plainly.columns == final.columns
+    assert sorted(map(str, plainly.collect())) == same
+    monkeypatch.undo()
+    assert sorted(map(str, jobs.build_final_dataset(tables).collect())) == same
+
+
+def test_claims_without_ids_keep_the_labels_of_large_masters(spark, tables, large_masters, monkeypatch):
+    claims = tables["claims"].withColumns({
+        "claimid": F.when(F.col("org_id") != 1, F.col("claimid")),
+        "plan_id": F.when(F.col("org_id") != 2, F.col("plan_id"))})
+    odd = {**dict(tables), "claims": claims}
+    got = jobs.build_final_dataset(odd)
+    rows = sorted(map(str, got.collect()))
+    assert got.filter("claim_id is null and plan_name is not null").count() > 0
+    monkeypatch.undo()
+    assert rows == sorted(map(str, jobs.build_final_dataset(odd).collect()))
