@@ -9,7 +9,8 @@ The built-in exact percentile keeps a map of every distinct value in one buffer.
 * per group, the wanted ranks are located in three steps: by the leading digits of the value, by
   the following digits among the values that share them, and by value among the few that are
   left. A step hands at most two rows per quantile to the next, which are broadcast. Values are
-  counted once per group, and all steps read that one shuffle.
+  counted once per group; the first two steps read that one shuffle, the third what the second
+  left.
 """
 
 from __future__ import annotations
@@ -184,12 +185,15 @@ def _located_quantiles(
     df: DataFrame, columns: list[str], probabilities: Mapping[str, float], keys: list[str],
 ) -> DataFrame:
     """Quantiles located by digits."""
-    numbers = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = numbers.unpivot(keys, columns, "column_name", "v").filter(
-        F.col("v").isNotNull() & ~F.isnan("v")
-    )
+    # One key that is never NULL, as NULL filters on keys would tell the steps' scans apart.
+    whole = [F.struct(*keys).alias("_group")] if keys else []
+    names = {c: f"_value_{i}" for i, c in enumerate(columns)}
+    numbers = df.select(*whole, *[F.col(c).cast("double").alias(n) for c, n in names.items()])
+    values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(n).alias("v")) for c, n in names.items()])
+    each = ["_group"] if keys else []
+    long = numbers.select(*each, F.inline(values)).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     if keys:
-        counts = long.groupBy(*keys, "column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+        counts = long.groupBy("_group", "column_name", "v").agg(F.count(F.lit(1)).alias("n"))
     else:
         counts = long.withColumn("n", F.lit(1).cast("bigint"))
     first, second = _digits(F.col("v"))
@@ -201,11 +205,11 @@ def _located_quantiles(
         # At most two rows per column and quantile.
         return rows.join(F.broadcast(places), on)
 
-    group = [*keys, "column_name"]
+    group = [*each, "column_name"]
     at_first = _locate(long, group, "d1", _wanted(probabilities, F.col("total")))
     near = narrow(long, at_first, [*group, "d1"])
     at_second = _locate(near, [*group, "d1"], "d2", None)
-    nearest = narrow(long, at_second, [*group, "d1", "d2"])
+    nearest = narrow(near.drop("wanted"), at_second, [*group, "d1", "d2"])
     found = _locate(nearest, [*group, "d1", "d2"], "v", None).select(
         *group, "v", F.inline("wanted")
     )
@@ -218,4 +222,5 @@ def _located_quantiles(
         weight = F.max(F.when(F.col("name") == name, F.col("weight")))
         return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * weight)
 
-    return found.groupBy(*group).agg(*[value(n).alias(n) for n in probabilities])
+    found = found.groupBy(*group).agg(*[value(n).alias(n) for n in probabilities])
+    return found.select(*[F.col("_group")[k].alias(k) for k in keys], "column_name", *probabilities)

@@ -128,7 +128,11 @@ def aggregate(
     wanted = [
         (c, f) for c, fs in functions.items() for f in ([fs] if isinstance(fs, str) else fs)
     ]
-    rows = df.dropna(subset=keys)
+    # one condition a key: all uses of the rows then filter them at the same place, and share a scan
+    kinds = dict(df.dtypes)
+    present = [F.col(f"`{k}`").isNotNull() for k in keys]
+    present += [~F.isnan(f"`{k}`") for k in keys if kinds[k] in ("float", "double")]
+    rows = df.filter(reduce(lambda a, b: a & b, present)) if keys else df
     plain, medians = [], []
     for column, function in wanted:
         if function == "median":

@@ -150,3 +150,18 @@ def test_all_profile_results_as_rows(spark):
     found = {(r.section, r.subject, r.measure): r.number if r.text is None else r.text for r in out.collect()}
     assert found["table", "", "rows"] == 2 and found["numeric", "b", "median"] == 2.5
     assert found["strings", "c|1", "value"] == "x" and found["correlations", "a|b", "correlation"] == pytest.approx(1)
+
+
+def test_values_of_groups_are_counted_once(spark):
+    from claimlake.plans.catalog import QUERIES
+
+    found = QUERIES["a6_aggregate"](spark, "/root/testdata/sf0.001")
+    found.collect()
+    ran = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert ran.count("partial_count(1)") == 1
+
+
+def test_a_group_without_a_key_has_quantiles(spark):
+    rows = spark.createDataFrame([(None, 1.0), (None, 4.0), ("a", 2.0), ("a", None)], "k string, x double")
+    got = quantiles.exact_quantiles(rows, ["x"], {"half": 0.5}, ["k"])
+    assert {tuple(r) for r in got.collect()} == {(None, "x", 2.5), ("a", "x", 2.0)}
